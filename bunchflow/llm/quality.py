@@ -61,7 +61,11 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long"),
         "__h": F.when(F.col("__n") > 1, F.transform(F.expr("slice(__z, 1, greatest(__n, 0))"), lambda x: F.xxhash64(x))).otherwise(none),
     })
-    return _repeats(df).drop("__t", "__trim", "__w", "__l", "__n", "__z", "__h")
+    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+    # A filter on a statistic must not be pushed below the projections, which would
+    # repeat their expressions in it; it does not pass a generator.
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    return _repeats(df).select(*own, F.inline_outer(F.array(F.struct(*names))))
 
 
 def _repeats(df: DataFrame) -> DataFrame:
@@ -116,7 +120,7 @@ def rules(text: str = "text") -> list[Rule]:
     capitals = F.regexp_count(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), F.lit("[A-Z]"))
     return [
         Rule("symbols", F.col("n_symbols") * 10 > n),
-        Rule("repeated_lines", F.col("n_dup_lines") * 10 > F.col("n_lines") * 3),
+        Rule("repeated_lines", F.col("n_dup_lines") * 2 > F.col("n_lines")),
         Rule("word_length", (F.col("word_chars") < n * 2) | (F.col("word_chars") > n * 15)),
         Rule("capitals", capitals * 10 > F.col("word_chars") * 6),
     ]
@@ -195,7 +199,7 @@ WITH d AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR n_symbols * 10 > n_words OR n_dup_lines * 10 > n_lines * 3
+  NOT (base_failed OR n_symbols * 10 > n_words OR n_dup_lines * 2 > n_lines
     OR word_chars < n_words * 2 OR word_chars > n_words * 15 OR capitals * 10 > word_chars * 6) AS kept
 FROM b
 """
