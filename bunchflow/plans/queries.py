@@ -1,6 +1,11 @@
-"""name -> (query, SQL): filled in by the modules of this package."""
+"""name -> query and name -> SQL, of all modules of this package."""
 
 from __future__ import annotations
 
+from . import decode, framing, live, select, wire
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for _module in (decode, select, framing, live, wire):
+    QUERIES |= _module.QUERIES
+    ORACLES |= _module.ORACLES
