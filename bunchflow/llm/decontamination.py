@@ -88,8 +88,10 @@ class FMIndex:
 
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row ranges of patterns, one in each row, by backward search."""
-        lo, hi = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.n, np.int64)
-        live = np.arange(len(patterns))
+        # a symbol that s can't hold is in no table
+        live = np.flatnonzero((patterns < 1 << self.levels).all(axis=1))
+        lo, hi = np.zeros(len(patterns), np.int64), np.zeros(len(patterns), np.int64)
+        hi[live] = self.n
         for c in patterns.T[::-1]:
             c = c[live]
             lo[live], hi[live] = self.less[c] + self.rank(c, lo[live]), self.less[c] + self.rank(c, hi[live])
