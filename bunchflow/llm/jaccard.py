@@ -8,13 +8,15 @@ documents together. Any order gives the same links.
 
 Sets that share such a shingle meet in two rounds. First each set is compared
 with the leader it shares most with, which joins whole groups of near copies in
-linear time. Then only the (shingle, size band) groups that still hold several
+linear time. Then the (shingle, size band) groups that still hold several
 components are searched by signature trees: nodes hold OR-combined shingle
 bitmaps and size ranges; a dual traversal prunes pairs of nodes that lie in one
 component, whose sizes can't match, or whose greatest possible overlap is too
-small; the leaves left are compared shingle by shingle. Large groups are split
-into blocks, a task for each pair of blocks, so that no task holds more than
-BLOCK sets twice. Within a component not every link is looked for; the
+small. What is left clusters the sets; each set goes once to its
+cluster, where a tree over the cluster finds the links, shingle by shingle at
+its leaves. Large groups and clusters are split into blocks, a task for each
+pair of blocks, so that no task holds more than two blocks. Within a component
+not every link is looked for; the
 components are exact.
 """
 
@@ -23,14 +25,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .graph import Filter, components, key_filter
-from .tasks import table, written
+from .graph import components, key_filter
+from .tasks import by_group, in_arrow, table, written
 from .words import SPACED, Words, _ranges, batches, signed
 
 #: Buckets of the count sketch (4 bytes each).
@@ -38,22 +39,31 @@ SKETCH = 1 << 20
 #: Sets and shingles of a block.
 BLOCK = 512
 BLOCK_SHINGLES = 400_000
+#: Bitmaps of a block.
+BITMAP_BLOCK = 4096
+#: Texts that shingle_sets takes at once: as many as 12 bits number.
+MOST_TEXTS = 1 << 12
 _SET_BASE = 0xC2B2AE3D27D4EB4F
 
 
 def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, bounds): each text's distinct k-word shingles in order of hash; fewer words are one shingle."""
+    """(hashes, bounds): each text's distinct k-word shingles in order of hash; fewer words are one shingle.
+
+    A hash has 52 bits, above which the text's place in the chunk stands while
+    sorting, so one plain sort serves all texts.
+    """
     n = len(w.counts)
+    if n > MOST_TEXTS:
+        raise ValueError("too many texts in a chunk")
     grams, ok = w.phrases(k)
     short = np.flatnonzero((w.counts > 0) & (w.counts < k))
-    doc = np.concatenate((np.repeat(np.arange(n), w.counts)[ok], short))
-    value = np.concatenate((grams[ok], w.whole()[short]))
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-    doc, value = doc[new], value[new]
-    return value, np.searchsorted(doc, np.arange(n + 1))
+    doc = np.concatenate((np.repeat(np.arange(n), w.counts)[ok], short)).astype(np.uint64)
+    value = np.concatenate((grams[ok], w.whole()[short])) >> np.uint64(12)
+    both = np.sort(doc << np.uint64(52) | value)
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    both = both[new]
+    return both & np.uint64((1 << 52) - 1), np.searchsorted(both >> np.uint64(52), np.arange(n + 1))
 
 
 def set_keys(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -65,40 +75,73 @@ def links(inter: int, a: int, b: int, num: int, den: int) -> bool:
     return den * inter >= num * (a + b - inter) and inter > 0
 
 
-def _texts(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.col(f"`{text}`").cast("string").alias("text"))
+def _numbered(docs: DataFrame, text: str) -> DataFrame:
+    """(row, text): rows by number. A table's rows have the same numbers each time that it is read."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
 def _measured(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """kind 0: (id, n, set) of each document; kind 1: (n, set) as (times, bucket) of a task's frequent buckets."""
-    data = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    schema = T.StructType([T.StructField("kind", T.IntegerType()), data.schema["id"], T.StructField("n", T.LongType()), T.StructField("set", T.LongType())])
+    """kind 0: (id, row, n, set) of each document; kind 1: (row, n) as (bucket, times) of a task's frequent buckets."""
+    data = docs.select(F.col(f"`{key}`").alias("id"), F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("id", data.schema["id"].dataType), *(T.StructField(c, T.LongType()) for c in ("row", "n", "set"))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, total, of = np.zeros(SKETCH, np.uint32), 0, None
         for batch in it:
             of = batch.schema.field(0).type
-            for row, end, w in batches(batch.column(1), SPACED, True):
+            for row, end, w in batches(batch.column(2), SPACED, True, MOST_TEXTS):
                 value, bounds = shingle_sets(w, k)
                 sketch += np.bincount((value & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
-                total += end - row
                 n = end - row
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column(0).slice(row, n), pa.array(np.diff(bounds)), pa.array(set_keys(value, bounds))], names=["kind", "id", "n", "set"])
+                total += n
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), *(batch.column(i).slice(row, n) for i in (0, 1)), pa.array(np.diff(bounds)), pa.array(set_keys(value, bounds))], names=["kind", "id", "row", "n", "set"])
         if of is not None:
             mean = float(sketch.mean())
             at = np.flatnonzero(sketch >= max(8.0, mean + 8 * mean**0.5, total / 500))
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), pa.nulls(len(at), of), pa.array(sketch[at].astype(np.int64)), pa.array(at.astype(np.int64))], names=["kind", "id", "n", "set"])
+            n = len(at)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, of), pa.array(at.astype(np.int64)), pa.array(sketch[at].astype(np.int64)), pa.array(np.zeros(n, np.int64))], names=["kind", "id", "row", "n", "set"])
+
+    return in_arrow(data, run, schema)
 
-    return data.mapInArrow(run, schema)
 
+def _picked(it: Iterator[pa.RecordBatch], only) -> Iterator[pa.RecordBatch]:
+    """Rows of (row, text) batches that a filter of row numbers passes: a superset of the wanted ones."""
+    for batch in it:
+        hit = only.value.has(batch.column(0).to_numpy())
+        if hit.any():
+            yield batch.filter(pa.array(hit))
 
-def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, sketch, only) -> DataFrame:
-    """(token, set, n) of the prefix of each set, once for a task's equal sets; only: a filter of tokens."""
+
+def prefix(value: np.ndarray, bounds: np.ndarray, times: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each set's prefix, and their ranks: its rarest values, by (sketch count, value); values are in order in each set.
+
+    A value of no frequent bucket counts 0, so most sets just take their first
+    such values; only sets with too few of them order the others.
+    """
+    n = np.diff(bounds)
+    need = n - (num * n + den - 1) // den + 1
+    need[n == 0] = 0
+    rare = times == 0
+    rank = np.cumsum(rare) - rare
+    rank -= np.repeat(rank[np.minimum(bounds[:-1], len(rank) - 1)] if len(rank) else bounds[:-1], n)
+    take = rare & (rank < np.repeat(need, n))
+    have = np.add.reduceat(np.append(rare, False), bounds[:-1]) * (n > 0) if len(n) else need
+    for i in np.flatnonzero(have < need):
+        at = np.arange(bounds[i], bounds[i + 1])[~rare[bounds[i] : bounds[i + 1]]]
+        order = np.lexsort((value[at], times[at]))
+        at = at[order[: need[i] - have[i]]]
+        take[at], rank[at] = True, have[i] + np.arange(len(at))
+    at = np.flatnonzero(take)
+    return at, rank[at]
+
+
+def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, sketch, rows, only) -> DataFrame:
+    """(token, set, n, rank) of the prefix of the set of each row that the filter `rows` passes; only: a filter of tokens."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in it:
-            for _, _, w in batches(batch.column(0), SPACED, True):
+        for batch in _picked(it, rows):
+            for _, _, w in batches(batch.column(1), SPACED, True, MOST_TEXTS):
                 value, bounds = shingle_sets(w, k)
                 n, keys = np.diff(bounds), set_keys(value, bounds)
                 new = np.zeros(len(n), bool)
@@ -106,49 +149,37 @@ def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, sketch, on
                     if (x := int(keys[i])) not in seen:
                         seen.add(x)
                         new[i] = True
-                doc = np.repeat(np.arange(len(n)), n)
-                times = sketch.value[(value & np.uint64(SKETCH - 1)).astype(np.int64)]
-                order = np.lexsort((value, times, doc))
-                long_ = n - (num * n + den - 1) // den + 1
-                place = np.arange(len(value)) - np.repeat(bounds[:-1], n)
-                take = (place < np.repeat(long_, n)) & np.repeat(new, n)
-                token, doc = signed(value[order][take]), doc[take]
+                at, rank = prefix(value, bounds, sketch.value[(value & np.uint64(SKETCH - 1)).astype(np.int64)], num, den)
+                doc = np.repeat(np.arange(len(n)), n)[at]
+                token = value[at]
+                keep = new[doc]
                 if only is not None:
-                    hit = only.value.has(token)
-                    token, doc = token[hit], doc[hit]
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(keys[doc]), pa.array(n[doc])], names=["token", "set", "n"])
+                    keep &= only.value.has(signed(token))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(token[keep])), pa.array(keys[doc[keep]]), pa.array(n[doc[keep]].astype(np.int32)), pa.array(rank[keep].astype(np.int32))], names=["token", "set", "n", "rank"])
 
-    return _texts(docs, text).mapInArrow(run, "token long, set long, n long")
+    return in_arrow(_numbered(docs, text), run, "token long, set long, n int, rank int")
 
 
-def _texts_of(docs: DataFrame, text: str, k: int, sets: DataFrame) -> DataFrame:
-    """(set, text) of one document for each of the sets (a written column `set`)."""
-    only = docs.sparkSession.sparkContext.broadcast(key_filter(sets, "set"))
+def _made(docs: DataFrame, text: str, k: int, wanted: DataFrame, make) -> DataFrame:
+    """(set, data) with data = make(values) as bytes for the (set, row) of `wanted`, a written table.
+
+    Sets travel as their values: unlike a text of repeated words, they take what
+    their size says.
+    """
+    only = docs.sparkSession.sparkContext.broadcast(key_filter(wanted, "row"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in it:
-            for row, _, w in batches(batch.column(0), SPACED, True):
+        for batch in _picked(it, only):
+            for row, end, w in batches(batch.column(1), SPACED, True, MOST_TEXTS):
                 value, bounds = shingle_sets(w, k)
-                keys = set_keys(value, bounds)
-                at = []
-                for i in np.flatnonzero(only.value.has(keys) & (np.diff(bounds) > 0)):
-                    if (x := int(keys[i])) not in seen:
-                        seen.add(x)
-                        at.append(i)
-                if at:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[at]), batch.column(0).take(pa.array(np.array(at) + row))], names=["set", "text"])
+                data = [make(value[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(data, pa.binary())], names=["row", "data"])
 
-    found = _texts(docs, text).mapInArrow(run, "set long, text string")
-    return written(found.join(sets, "set", "left_semi").groupBy("set").agg(F.first("text").alias("text")))
+    return written(in_arrow(_numbered(docs, text), run, "row long, data binary").join(wanted.select("set", "row"), "row").select("set", "data"))
 
 
-def sets_of(texts: pa.Array, k: int) -> list[np.ndarray]:
-    out: list[np.ndarray] = []
-    for _, _, w in batches(texts, SPACED, True):
-        value, bounds = shingle_sets(w, k)
-        out += [value[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-    return out
+def _values(column: pa.Array, dtype=np.uint64) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), dtype) for x in column]
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -160,17 +191,16 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of sets that link."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            x, y = sets_of(batch.column(2), k), sets_of(batch.column(3), k)
-            ok = pa.array([links(_common(p, q), len(p), len(q), num, den) for p, q in zip(x, y)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(ok)
+            ok = [links(_common(p, q), len(p), len(q), num, den) for p, q in zip(_values(batch.column(2)), _values(batch.column(3)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    left, right = (texts.select(F.col("set").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    left, right = (sets.select(F.col("set").alias(c), F.col("data").alias(f"data_{c}")) for c in "ab")
+    return in_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "data_a", "data_b"), run, "a long, b long")
 
 
 class Union:
@@ -199,15 +229,8 @@ class SignatureTree:
 
     FAN = 8
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets, most = sets, max(map(len, sets))
-        self.width = 1 << min(16, max(6, (2 * most).bit_length()))
-        rows = np.zeros((len(sets), self.width >> 3), np.uint8)
-        for row, s in zip(rows, sets):
-            p = (s >> np.uint64(20) & np.uint64(self.width - 1)).astype(np.int64)
-            np.bitwise_or.at(row, p >> 3, (1 << (p & 7)).astype(np.uint8))
-        size = np.array([len(s) for s in sets])
-        bits = rows.view(np.uint64)
+    def __init__(self, bits: np.ndarray, size: np.ndarray):
+        """bits: a row of 64-bit words for each set; size: the sets' sizes, in order."""
         excess = size - np.bitwise_count(bits).sum(1).astype(np.int64)
         # level 0 holds the sets themselves
         self.levels = [(bits, size, size, excess)]
@@ -227,10 +250,27 @@ class SignatureTree:
         return (num + den) * min(most, int(high[i]), int(high[j])) >= num * int(low[i] + low[j])
 
 
-def tree_links(sets: list[np.ndarray], component: list[int], wanted, num: int, den: int) -> list[tuple[int, int]]:
-    """Links (i, j) that join the components of sets, which are in order of size; wanted(i, j): the pair is this task's."""
-    tree, union, out = SignatureTree(sets), Union(component), []
-    whole: dict[tuple[int, int], int | None] = {}
+def bitmap_bits(size: int) -> int:
+    """Bits of the bitmap of a set: a power of two, at least its size, within 64 and 65536."""
+    return 1 << min(16, max(6, (max(size, 1) - 1).bit_length()))
+
+
+def bitmap(values: np.ndarray, bits: int) -> np.ndarray:
+    row = np.zeros(bits, bool)
+    row[(values >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(row, bitorder="little")
+
+
+def folded(rows: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of several powers of two of bits, OR-folded to the least, as rows of 64-bit words."""
+    least = min(map(len, rows))
+    return np.stack([np.bitwise_or.reduce(r.reshape(-1, least), axis=0) for r in rows]).view(np.uint64)
+
+
+def traversed(tree: SignatureTree, component: list[int], joins, num: int, den: int) -> list[tuple[int, int]]:
+    """Dual traversal: pairs (i, j) of sets in different components that may link and for which joins(i, j) holds."""
+    union, out = Union(component), []
+    whole: dict[tuple[int, int], int] = {}
 
     def one_component(level: int, i: int) -> int | None:
         """The component of all sets below a node; once they agree they stay together."""
@@ -254,7 +294,7 @@ def tree_links(sets: list[np.ndarray], component: list[int], wanted, num: int, d
         if i != j and not tree.may_link(level, i, j, num, den):
             continue
         if level == 0:
-            if wanted(i, j) and links(_common(sets[i], sets[j]), len(sets[i]), len(sets[j]), num, den):
+            if i != j and joins(i, j):
                 out.append((i, j))
                 union.join(i, j)
             continue
@@ -263,35 +303,86 @@ def tree_links(sets: list[np.ndarray], component: list[int], wanted, num: int, d
     return out
 
 
-def _rest(rows: DataFrame, labels: DataFrame, docs: DataFrame, text: str, k: int, num: int, den: int) -> DataFrame | None:
-    """Links between components, from the (token, size band) groups that hold several."""
+def _blocks(rows: DataFrame, blocks, *group: str) -> DataFrame:
+    """Rows for each pair of blocks x <= y of their group; a row is in as many pairs as its group has blocks."""
+    rows = rows.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other", "blocks")
+
+
+def _rest(rows: DataFrame, labels: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, text: str, k: int, num: int, den: int) -> DataFrame | None:
+    """Links between components, for the (token, size band) groups that hold several.
+
+    Signature trees over the groups' bitmaps give clusters of sets that may
+    link, as spanning edges; then each set goes once to its cluster, whose
+    signature tree compares the shingles of the pairs left.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)) * 1.0000001)).cast("int")
     held = rows.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("label", "set")).drop("label").withColumn("band", band)
     # sets that link are in one band or in two that follow each other: a set is a guest in the next
-    held = held.select("token", "set", "n", "comp", F.explode(F.array(F.struct(F.col("band").alias("at"), F.lit(True).alias("own")), F.struct((F.col("band") + 1).alias("at"), F.lit(False).alias("own")))).alias("p")).select("token", "set", "n", "comp", "p.at", "p.own")
+    bands = F.explode(F.array(F.struct(F.col("band").alias("at"), F.lit(True).alias("own")), F.struct((F.col("band") + 1).alias("at"), F.lit(False).alias("own"))))
+    held = held.select("token", "set", "n", "rank", "comp", bands.alias("p")).select("token", "set", "n", "rank", "comp", "p.at", "p.own")
     mark = F.xxhash64("set", "own")
-    groups = held.groupBy("token", "at").agg(F.count("*").alias("size"), F.sum("n").alias("total"), F.max("own").alias("any_own"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(mark.cast("decimal(38,0)")).alias("mark"))
-    groups = groups.where("c0 <> c1 AND any_own")
+    row = F.struct("set", "n", "rank")
+    groups = held.groupBy("token", "at").agg(F.count("*").alias("size"), F.min(row).alias("p"), F.max(row).alias("q"), F.max("own").alias("any_own"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(mark.cast("decimal(38,0)")).alias("mark"))
+    # two sets that link have, behind the first value that they share, enough left in both
+    behind = F.least(F.col("p.n") - F.col("p.rank"), F.col("q.n") - F.col("q.rank"))
+    enough = (behind * (num + den) >= (F.col("p.n") + F.col("q.n")) * num) & (F.least("p.n", "q.n") * den >= F.greatest("p.n", "q.n") * num)
+    groups = groups.where("c0 <> c1 AND any_own").where((F.col("size") > 2) | enough)
     # tokens that the very same sets share make the same group: one of them stays
-    groups = groups.groupBy("at", "mark", "size").agg(F.min("token").alias("token"), F.first("total").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    members = written(held.join(groups.select("token", "at", blocks.alias("blocks")), ["token", "at"]).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")))
+    groups = groups.groupBy("at", "mark", "size").agg(F.min("token").alias("token"))
+    members = written(held.drop("rank").join(groups.select("token", "at", "size"), ["token", "at"]))
     if not members.limit(1).count():
         return None
-    texts = _texts_of(docs, text, k, written(members.select("set").distinct()))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = members.withColumn("other", other).select("token", "at", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "set", "comp", "own", "n").join(texts, "set")
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "set"])
-        sets = sets_of(pa.array(pdf["text"], pa.large_string()), k)
-        own, block, same = pdf["own"].to_numpy(), pdf["block"].to_numpy(), pdf["x"].iloc[0] == pdf["y"].iloc[0]
+    maps = _made(docs, text, k, written(reps.join(members.select("set").distinct(), "set", "left_semi")), lambda x: bitmap(x, bitmap_bits(len(x))))
+    paired = _blocks(members, F.ceil(F.col("size") / BITMAP_BLOCK), "token", "at").join(maps, "set")
+
+    def cluster(rows: pa.Table) -> pa.RecordBatch | None:
+        order = np.lexsort((rows["set"].to_numpy(), rows["n"].to_numpy()))
+        own, block, key, n, comp = (rows[c].to_numpy()[order] for c in ("own", "block", "set", "n", "comp"))
+        if den * n[-1] < num * n[0] and len(n) == 2:
+            return None
+        same, maps = rows["x"][0] == rows["y"][0], _values(rows["data"], np.uint8)
+        tree = SignatureTree(folded([maps[i] for i in order]), n)
         # guests meet each other in their own band; sets of one block in the block's own task
-        found = tree_links(sets, pdf["comp"].tolist(), lambda i, j: (own[i] or own[j]) and (same or block[i] != block[j]), num, den)
-        key = pdf["set"].to_numpy()
-        return pd.DataFrame({"a": [key[i] for i, _ in found], "b": [key[j] for _, j in found]}, dtype="int64")
+        return _edges(traversed(tree, comp.tolist(), lambda i, j: bool(own[i] or own[j]) and bool(same or block[i] != block[j]), num, den), key)
 
-    return paired.groupBy("token", "at", "x", "y").applyInPandas(search, "a long, b long")
+    paired = paired.select("token", "at", "x", "y", "set", "n", "comp", F.col("own").cast("int").alias("own"), "block", "data")
+    may = written(by_group(paired, ["token", "at", "x", "y"], cluster, "a long, b long").distinct())
+    if not may.limit(1).count():
+        return None
+    clusters = components(found.unionByName(may)).withColumnRenamed("node", "set").withColumnRenamed("label", "cluster")
+    # of clusters without a candidate edge nothing is left to compare
+    open_ = clusters.join(may.select(F.col("a").alias("set")).distinct(), "set", "left_semi").select("cluster").distinct()
+    sizes = reps.join(clusters.join(open_, "cluster", "left_semi"), "set").join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("label", "set"))
+    sizes = written(sizes.select("cluster", "set", "n", "comp", "row"))
+    per = sizes.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("k"))
+    values = _made(docs, text, k, sizes, lambda x: x)
+    searched = _blocks(sizes.join(per, "cluster"), F.col("k"), "cluster").join(values, "set")
+
+    def search(rows: pa.Table) -> pa.RecordBatch | None:
+        order = np.lexsort((rows["set"].to_numpy(), rows["n"].to_numpy()))
+        block, key, comp = (rows[c].to_numpy()[order] for c in ("block", "set", "comp"))
+        same = rows["x"][0] == rows["y"][0]
+        sets = _values(rows["data"])
+        sets = [sets[i] for i in order]
+        size = np.array([len(s) for s in sets])
+        tree = SignatureTree(folded([bitmap(s, bitmap_bits(int(size[-1]))) for s in sets]), size)
+
+        def joins(i: int, j: int) -> bool:
+            return bool(same or block[i] != block[j]) and links(_common(sets[i], sets[j]), len(sets[i]), len(sets[j]), num, den)
+
+        return _edges(traversed(tree, comp.tolist(), joins, num, den), key)
+
+    searched = searched.select("cluster", "x", "y", "set", "n", "comp", "block", "data")
+    return by_group(searched, ["cluster", "x", "y"], search, "a long, b long")
+
+
+def _edges(pairs: list[tuple[int, int]], key: np.ndarray) -> pa.RecordBatch | None:
+    if not pairs:
+        return None
+    at = np.array(pairs)
+    return pa.RecordBatch.from_arrays([pa.array(key[at[:, 0]]), pa.array(key[at[:, 1]])], names=["a", "b"])
 
 
 def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -307,26 +398,32 @@ def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", te
     spark = docs.sparkSession
     measured = written(_measured(docs, key, text, k))
     rows = measured.where("kind = 0").select("id", F.col("n").alias("n_shingles"), "set")
-    frequent = measured.where("kind = 1").groupBy("set").agg(F.sum("n").alias("times")).collect()  # at most SKETCH rows
+    # each set's first row stands for it
+    reps = written(measured.where("kind = 0 AND n > 0").groupBy("set").agg(F.min("row").alias("row"), F.first("n").alias("n")))
+    frequent = measured.where("kind = 1").groupBy("row").agg(F.sum("n").alias("times")).collect()  # at most SKETCH rows
     counts = np.zeros(SKETCH, np.uint32)
     for r in frequent:
         counts[r[0]] = min(r[1], 2**32 - 1)
     sketch = spark.sparkContext.broadcast(counts)
+    first = spark.sparkContext.broadcast(key_filter(reps, "row"))
 
-    tokens = _prefixes(docs, text, k, num, den, sketch, None).groupBy("token").agg(F.min("set").alias("least"), F.max("set").alias("most"))
+    tokens = _prefixes(docs, text, k, num, den, sketch, first, None).groupBy("token").agg(F.min("set").alias("least"), F.max("set").alias("most"))
     tokens = written(tokens.where("least <> most").select("token"))
     only = spark.sparkContext.broadcast(key_filter(tokens, "token"))
-    shared = written(_prefixes(docs, text, k, num, den, sketch, only).distinct())
+    shared = written(_prefixes(docs, text, k, num, den, sketch, first, only).distinct())
 
     leaders = shared.groupBy("token").agg(F.min(F.struct("set", "n")).alias("lead"), F.max("set").alias("most")).where("lead.set <> most")
     meets = shared.join(leaders, "token").where(F.col("set") != F.col("lead.set"))
     meets = meets.where(F.least("n", "lead.n") * den >= F.greatest("n", "lead.n") * num)
-    times = meets.groupBy("set", F.col("lead.set").alias("lead")).agg(F.count("*").alias("times"))
-    pairs = written(times.groupBy("set").agg(F.max(F.struct("times", "lead")).alias("best")).select(F.col("set").alias("a"), F.col("best.lead").alias("b")))
-    texts = _texts_of(docs, text, k, written(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()))
-    found = written(_verified(pairs, texts, k, num, den))
+    times = meets.groupBy("set", "n", F.col("lead.set").alias("lead")).agg(F.count("*").alias("times"))
+    # two sets that link share at least one value of their prefixes; a leader that shares a tenth of it is worth a look
+    pairs = times.groupBy("set", "n").agg(F.max(F.struct("times", "lead")).alias("best")).where(F.col("best.times") * 10 * den >= F.col("n") * (den - num))
+    pairs = written(pairs.select(F.col("set").alias("a"), F.col("best.lead").alias("b")))
+    both = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+    sets = _made(docs, text, k, written(reps.join(both, "set", "left_semi")), lambda x: x)
+    found = written(_verified(pairs, sets, num, den))
     labels = components(found)
-    more = _rest(shared, labels, docs, text, k, num, den)
+    more = _rest(shared, labels, found, reps, docs, text, k, num, den)
     if more is not None:
         more = written(more)
         if more.limit(1).count():

@@ -13,6 +13,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Rows of an Arrow batch of texts, set where the session has Spark's own 10,000: long texts would fill a worker.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
+def released(it: Iterator) -> Iterator:
+    """The same items; then a reused worker gives back the memory that the task leaves."""
+    yield from it
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow in small batches, whose workers keep no memory between tasks."""
+    small_batches(df.sparkSession)
+    return df.mapInArrow(lambda it: released(work(it)), schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares; a temporary one where none is set, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,8 +85,32 @@ def with_arrow(
                 new = work(batch.column(len(keep)), *ready)
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *(new[f.name] for f in fields)], names=[*keep, *(f.name for f in fields)])
 
-    return data.mapInArrow(run, schema)
+    return in_arrow(data, run, schema)
 
 
-def longs(x: np.ndarray) -> pa.Array:
-    return pa.array(np.asarray(x).astype(np.int64, copy=False))
+def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """work() on the rows of each group of long keys: many small groups share a task and its batches.
+
+    A group must fit into memory; the caller bounds it.
+    """
+    names = [*keys, *(c for c in df.columns if c not in keys)]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in it:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([rest, rows]) if rest is not None else rows
+            cuts = np.zeros(rows.num_rows - 1, bool)
+            for k in keys:
+                cuts |= np.diff(rows.column(k).to_numpy()) != 0
+            bounds = [0, *(np.flatnonzero(cuts) + 1).tolist()]
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                if (out := work(rows.slice(a, b - a))) is not None:
+                    yield out
+            rest = rows.slice(bounds[-1])
+        if rest is not None and (out := work(rest)) is not None:
+            yield out
+
+    return in_arrow(df.select(*names).repartition(*keys).sortWithinPartitions(*keys), run, schema)

@@ -31,7 +31,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 #: Bytes of text that are worked on at once (one longer text makes its own chunk).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PHRASE_BASE = 0xD6E8FEB86659FD93 | 1
@@ -58,7 +58,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(base, max(1 << 16, 1 << max(n, 1).bit_length()))
+    return _powers(base, max(1 << 16, 1 << (n - 1).bit_length()))
 
 
 def _ranges(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: int) -> np.ndarray:
@@ -119,8 +119,8 @@ def tokenize(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bo
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of runs of whole texts of about CHUNK_BYTES."""
+def chunks(texts: pa.Array, most: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of runs of whole texts of about CHUNK_BYTES, `most` texts at most."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -133,13 +133,13 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     row = 0
     while row < n:
         end = int(np.searchsorted(bounds, bounds[row] + CHUNK_BYTES, "right")) - 1
-        end = min(n, max(end, row + 1))
+        end = min(n, row + most, max(end, row + 1))
         yield row, end, data[bounds[row] : bounds[end]], bounds[row : end + 1] - bounds[row]
         row = end
 
 
-def batches(texts: pa.Array, table: np.ndarray, lower: bool) -> Iterator[tuple[int, int, Words]]:
-    for row, end, data, offsets in chunks(texts):
+def batches(texts: pa.Array, table: np.ndarray, lower: bool, most: int = 1 << 30) -> Iterator[tuple[int, int, Words]]:
+    for row, end, data, offsets in chunks(texts, most):
         yield row, end, tokenize(data, offsets, table, lower)
 
 
