@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tasks import written
+from .tasks import in_arrow, written
 from .words import mix
 
 #: Bits of a filter at most (16 MB): beyond, it lets more pass, which only costs time.
@@ -59,7 +59,7 @@ def key_filter(keys: DataFrame, column: str, most_bits: int = FILTER_BITS) -> Fi
         return pd.DataFrame({"at": pdf["at"].iloc[:1], "part": [np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pdf["part"]]).tobytes()]})
 
     # few parts of a fixed size each, whatever the number of keys
-    parts = keys.select(F.col(column).cast("long")).coalesce(8).mapInArrow(part, "at long, part binary")
+    parts = in_arrow(keys.select(F.col(column).cast("long")).coalesce(8), part, "at long, part binary")
     for r in parts.groupBy("at").applyInPandas(either, "at long, part binary").toLocalIterator():
         out.bytes[r.at : r.at + len(r.part)] = np.frombuffer(bytes(r.part), np.uint8)
     return out

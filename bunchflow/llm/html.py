@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tasks import table, written
+from .tasks import in_arrow, table, written
 
 SHARE = 0.1
 LEAST = 3
@@ -291,7 +291,7 @@ def _subtrees(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(pages: DataFrame, url: str = "url", html: str = "html", share: float = SHARE, least: int = LEAST) -> DataFrame:
     """(host, hash) of subtrees on at least `share` of the host's different pages, and on `least`."""
-    rows = pages.select(F.col(f"`{url}`").cast("string"), F.col(f"`{html}`").cast("string")).mapInArrow(_subtrees, "host string, hash long, body long")
+    rows = in_arrow(pages.select(F.col(f"`{url}`").cast("string"), F.col(f"`{html}`").cast("string")), _subtrees, "host string, hash long, body long")
     times = rows.groupBy("host", "hash", "body").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count("*").alias("times"))
     times = written(times.where((F.col("times") >= least) | (F.col("hash") == 0)))
     of_host = times.where("hash = 0").select("host", F.col("times").alias("pages"))
@@ -323,7 +323,7 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", keep: list
                 texts = [Page(x.as_py() or "").text(shared.value.get(host(u), frozenset())) for u, x in zip(urls, batch.column(len(keep) + 1))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, "main_text"])
 
-        return data.mapInArrow(run, schema)
+        return in_arrow(data, run, schema)
     # beyond the bound: pages meet their host's template in a join, whose hot hosts Spark splits
     by_url = F.lower(F.regexp_extract(F.coalesce("__url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     data = data.withColumn("__host", by_url).join(by_host.withColumnRenamed("host", "__host"), "__host", "left").select(*data.columns, "__hashes")
@@ -334,7 +334,7 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", keep: list
             texts = [Page(x.as_py() or "").text(frozenset(h.as_py() or ())) for x, h in pairs]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, "main_text"])
 
-    return data.mapInArrow(run_joined, schema)
+    return in_arrow(data, run_joined, schema)
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tasks import table, with_arrow
+from .tasks import in_arrow, table, with_arrow
 
 #: Bounds: labelled rows a language (about), and entries a language and kind.
 TRAIN_ROWS = 1000
@@ -123,7 +123,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int =
     per_lang = labelled.groupBy("lang").count().withColumn("share", share).select("lang", "share")
     picked = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * F.lit(float(1 << 20))
     sample = labelled.join(per_lang, "lang").where(picked).select("lang", "text")
-    counted = sample.mapInArrow(_counted, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
+    counted = in_arrow(sample, _counted, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
     by = Window.partitionBy("lang", "n")
     top = counted.withColumn("all", F.sum("times").over(by)).withColumn("place", F.row_number().over(by.orderBy(F.desc("times"), "gram"))).where(F.col("place") <= keep)
     return Model([tuple(r) for r in top.select("lang", "n", "gram", "times", "all").collect()])

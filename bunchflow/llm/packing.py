@@ -18,6 +18,7 @@ that it fails on, goes to the tokenizer itself.
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tasks import table, written
+from .tasks import in_arrow, table, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -49,13 +50,13 @@ def encoder(tokenizer: str, ranks: str | None):
     import tiktoken
     from tokenizers import Tokenizer
 
-    full = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-    special = [x.content for x in full.get_added_tokens_decoder().values()]
-    fast = None
+    fast, slow = None, []
     if ranks:
         with open(public_tokenizers.path(ranks), "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    with open(public_tokenizers.path(tokenizer), encoding="utf-8") as f:
+        special = [x["content"] for x in json.load(f)["added_tokens"]]
 
     def ids(text: str) -> np.ndarray:
         if fast is not None and not any(x in text for x in special):
@@ -64,7 +65,9 @@ def encoder(tokenizer: str, ranks: str | None):
             except BaseException as e:  # a panic of the library is no Exception
                 if isinstance(e, (KeyboardInterrupt, SystemExit)):
                     raise
-        return np.array(full.encode(text, add_special_tokens=False).ids, np.uint32)
+        if not slow:  # seldom needed, and large
+            slow.append(Tokenizer.from_file(public_tokenizers.path(tokenizer)))
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     return ids
 
@@ -91,7 +94,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
 
     data = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = data.schema["doc_id"].dataType.simpleString()
-    return data.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return in_arrow(data, run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:

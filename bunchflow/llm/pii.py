@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .secrets import counted, joined
 from .spans import Span, overlaps
-from .tasks import table, with_arrow
+from .tasks import in_arrow, table, with_arrow
 from .words import chunks
 
 BASE = ("email", "ip", "card", "phone")
@@ -206,7 +206,7 @@ def _patterns(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def trained(docs: DataFrame, text: str = "text") -> Classifier:
     """A classifier of the candidates of all documents; without any, one that accepts nothing."""
-    rows = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(_patterns, "pattern string, times long")
+    rows = in_arrow(docs.select(F.col(f"`{text}`").cast("string").alias("text")), _patterns, "pattern string, times long")
     patterns = {r[0]: r[1] for r in rows.groupBy("pattern").agg(F.sum("times")).collect()}
     return Classifier(patterns, estimated(patterns)[0] if patterns else {})
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import key_filter
-from .tasks import table, written
+from .tasks import in_arrow, table, written
 from .words import SPACED, Words, batches, signed
 
 WINDOW = 35
@@ -71,7 +71,7 @@ def _measured(docs: DataFrame, key: str, text: str) -> DataFrame:
                 sha = [hashlib.sha256(b" ".join((x.as_py() or "").encode().split())).hexdigest() for x in batch.column(1).slice(row, end - row)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(w.counts.astype(np.int64)), pa.array(whole_keys(w)), pa.array(sha)], names=["id", "n_words", "class", "sha256"])
 
-    return data.mapInArrow(run, schema)
+    return in_arrow(data, run, schema)
 
 
 def _fresh(w: Words, window: int, seen: set[int]) -> np.ndarray:
@@ -106,7 +106,7 @@ def _anchors(docs: DataFrame, text: str, window: int, seed: int) -> DataFrame:
                 keys = whole_keys(w)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(anchor[first])), pa.array(keys[doc[first]]), pa.array(twice[first])], names=["anchor", "class", "often"])
 
-    return docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "anchor long, class long, often boolean")
+    return in_arrow(docs.select(F.col(f"`{text}`").cast("string").alias("text")), run, "anchor long, class long, often boolean")
 
 
 def _windows(docs: DataFrame, text: str, window: int, seed: int, only) -> DataFrame:
@@ -151,7 +151,7 @@ def _windows(docs: DataFrame, text: str, window: int, seed: int, only) -> DataFr
         if held:
             yield from emit(held)
 
-    return docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "kind int, value long, class long, at long, till long")
+    return in_arrow(docs.select(F.col(f"`{text}`").cast("string").alias("text")), run, "kind int, value long, class long, at long, till long")
 
 
 def _rows(kind: int, value: np.ndarray, key: np.ndarray, at: np.ndarray, till: np.ndarray) -> pa.RecordBatch:
@@ -170,7 +170,7 @@ def _class_texts(docs: DataFrame, text: str, window: int, classes: DataFrame) ->
                 if len(at):
                     yield pa.RecordBatch.from_arrays([pa.array(whole_keys(w)[at]), batch.column(0).take(pa.array(at + row))], names=["class", "text"])
 
-    return docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "class long, text string")
+    return in_arrow(docs.select(F.col(f"`{text}`").cast("string").alias("text")), run, "class long, text string")
 
 
 def cut_words(words: list[bytes], runs: list[tuple[int, int]], window: int) -> tuple[int, bytes]:
@@ -220,7 +220,7 @@ def removed(docs: DataFrame, window: int = WINDOW, seed: int = SEED, key: str =
             kept = [x[1].decode() if with_text else None for x in got]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in got], pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], names=["class", "n_cut", "cut_sha256", "kept"])
 
-    cuts = texts.join(runs, "class").select("class", "text", "runs").mapInArrow(cut, "class long, n_cut long, cut_sha256 string, kept string")
+    cuts = in_arrow(texts.join(runs, "class").select("class", "text", "runs"), cut, "class long, n_cut long, cut_sha256 string, kept string")
     cuts = written(cuts.groupBy("class").agg(F.first("n_cut").alias("n_cut"), F.first("cut_sha256").alias("cut_sha256"), F.first("kept").alias("kept")))
     out = rows.join(copies, "class", "left").join(cuts, "class", "left")
     all_gone = F.col("copies").isNotNull()
