@@ -112,7 +112,7 @@ def encode_dth(events: Iterable[Event]) -> bytes:
 
 def dth_records(data: bytes, unit: int) -> Iterator[tuple[int, int, bytes]]:
     """(first byte, orbit word or -1, payload) of each run of blocks from a start to an end."""
-    at, parts, begin = 0, [], 0
+    at, parts, begin, orbit = 0, [], 0, -1
     while at < len(data):
         head = data[at : at + unit]
         if len(head) < unit or head[:2] != DTH_MAGIC:
@@ -124,11 +124,13 @@ def dth_records(data: bytes, unit: int) -> Iterator[tuple[int, int, bytes]]:
             raise FramingError(f"short block before the end at byte {at}")
         if at + unit * (units + 1) > len(data):
             raise FramingError(f"block at byte {at} is cut off")
-        begin = begin if parts else at
+        word = struct.unpack("<Q", head[16:24])[0] >> 24 & 0xFFFFFFFF if unit == 32 else -1
+        if parts and word != orbit:
+            raise FramingError(f"block of another orbit at byte {at}")
+        begin, orbit = begin if parts else at, word
         parts.append(data[at + unit : at + unit * (units + 1)])
         at += unit * (units + 1)
         if flags & DTH_END:
-            orbit = struct.unpack("<Q", head[16:24])[0] >> 24 & 0xFFFFFFFF if unit == 32 else -1
             yield begin, orbit, b"".join(parts)
             parts = []
     if parts:
