@@ -6,16 +6,18 @@ another place. Texts with equal word sequences are one class, read once.
 1. Each window has an anchor, its least hashed SEED-word phrase, so equal windows
    have equal anchors, and a text has one anchor in about 14 words. Anchors of
    several places are counted; a fixed-size filter of them goes to all tasks.
-2. Windows with such an anchor are hashed. Within a task's group of texts equal
-   ones are confirmed at once and announced by one row, so passages of many
-   documents cost a row a group, not one an occurrence. The others are confirmed
-   by a count over the corpus.
-3. Confirmed windows become runs of words for each class, which meet one text of
-   the class; documents take their class's result.
-
-Automata of all recurring phrases would have to be streamed over by every
-document, in as many shards as the corpus needs; the README gives figures. The
-windows here are located by their hashes instead, in time linear in the corpus.
+2. Windows with such an anchor are hashed and confirmed by a count over the
+   corpus. A task's texts come in groups; a group announces a window once, by its
+   first place, so passages of many documents cost a row a group, not one an
+   occurrence.
+3. Confirmed windows that follow each other are phrases, cut where the group's
+   texts go on differently, so that an occurrence of a window in the group always
+   is part of one of its phrase.
+4. Each group of texts compiles its phrases into Aho-Corasick automata of bounded
+   size and streams its texts over them; the matches are the passages removed.
+
+An automaton so holds just the phrases that its group of texts can contain, and a
+text meets the automata of one group: work and memory stay linear in the corpus.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,13 +33,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import key_filter
-from .tasks import in_arrow, table, written
-from .words import SPACED, Words, batches, signed
+from .tasks import by_group, in_arrow, table, written
+from .words import SPACED, Words, batches, signed, tokenize
 
 WINDOW = 35
 SEED = 8
-#: Words of the texts among which equal windows are confirmed at once.
+#: Words of a group of texts (one longer text makes its own).
 GROUP_WORDS = 1_500_000
+#: Words of an automaton's phrases, three nodes each; a group compiles as many automata as it needs.
+AUTOMATON_WORDS = 300_000
+LETTERS = 3
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -109,68 +115,195 @@ def _anchors(docs: DataFrame, text: str, window: int, seed: int) -> DataFrame:
     return in_arrow(docs.select(F.col(f"`{text}`").cast("string").alias("text")), run, "anchor long, class long, often boolean")
 
 
-def _windows(docs: DataFrame, text: str, window: int, seed: int, only) -> DataFrame:
-    """kind 0: one window (value, class, at); 1: an announced window; 2: a confirmed run at .. till of windows."""
+def _numbered(docs: DataFrame, text: str) -> DataFrame:
+    """(row, text): rows by number. A table's rows have the same numbers each time that it is read."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
 
-    def emit(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+
+def _grouped(it: Iterator[pa.RecordBatch], window: int, most: int) -> Iterator[tuple[int, bool, pa.Array, Words, np.ndarray]]:
+    """(group, whether its last chunk, texts, their words, which are new to the task) of (row, text) batches.
+
+    A group is named by its first row, so each reading of a table gives the same groups.
+    """
+    seen: set[int] = set()
+    group, words = None, 0
+    for batch in it:
+        numbers = batch.column(0).to_numpy()
+        for row, end, w in batches(batch.column(1), SPACED, False):
+            group = int(numbers[row]) if group is None else group
+            words += len(w.hashes)
+            full = words >= most
+            yield group, full, batch.column(1).slice(row, end - row), w, _fresh(w, window, seen)
+            if full:
+                group, words = None, 0
+
+
+def phrases_of(value: np.ndarray, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(once, first, twice, begins, ends) of a group's windows, in order of text and place.
+
+    once: windows with no equal one; first: the first place of each other
+    window; twice: all places of those. begins, ends: bounds of the phrases, as
+    places in the input. Two windows are of one phrase when wherever either
+    occurs the other stands beside it.
+    """
+    n = len(value)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none, none
+    order = np.argsort(value, kind="stable")
+    lead = np.ones(n, bool)
+    lead[1:] = value[order][1:] != value[order][:-1]
+    starts = np.flatnonzero(lead)
+    times = np.diff(np.append(starts, n))
+    number = np.empty(n, np.int64)
+    number[order] = np.cumsum(lead) - 1
+    more = times > 1
+    near = (key[1:] == key[:-1]) & (at[1:] == at[:-1] + 1)
+    after, before = np.full(n, -1), np.full(n, -1)
+    after[:-1][near] = number[1:][near]
+    before[1:][near] = number[:-1][near]
+
+    def only(beside: np.ndarray) -> np.ndarray:
+        """The one window beside each window, or -1."""
+        low, high = np.minimum.reduceat(beside[order], starts), np.maximum.reduceat(beside[order], starts)
+        return np.where(low == high, low, -1)
+
+    after, before = only(after), only(before)
+    first = np.sort(order[starts[more]])
+    u, v = number[first[:-1]], number[first[1:]]
+    joined = (first[1:] == first[:-1] + 1) & (after[u] == v) & (before[v] == u)
+    cuts = np.flatnonzero(~joined) + 1
+    begins = first[np.append(0, cuts)] if len(first) else first
+    ends = first[np.append(cuts, len(first)) - 1] + 1 if len(first) else first
+    return np.flatnonzero(~more[number]), first, np.flatnonzero(more[number]), begins, ends
+
+
+def _windows(docs: DataFrame, text: str, window: int, seed: int, group_words: int, only) -> DataFrame:
+    """kind 0: a window (value, group, class, at) that its group has once; 1: one that it has more often.
+
+    2: a phrase at .. till of the latter; 3: a text with any of the latter.
+    """
+
+    def emit(group: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         value, key, at = (np.concatenate([h[i] for h in held]) for i in range(3))
-        order = np.argsort(value, kind="stable")
-        same = value[order][1:] == value[order][:-1]
-        twice = np.zeros(len(value), bool)
-        twice[order[1:][same]] = twice[order[:-1][same]] = True
-        once = ~twice
-        yield _rows(0, value[once], key[once], at[once], at[once] + 1)
-        lead = np.ones(len(order), bool)
-        lead[1:] = ~same
-        announced = value[order][lead & twice[order]]
-        none = np.zeros(len(announced), np.int64)
-        yield _rows(1, announced, none, none, none)
-        # texts come in order and windows of a text too, so runs stand together
-        k, p = key[twice], at[twice]
-        begin = np.ones(len(k), bool)
-        begin[1:] = (k[1:] != k[:-1]) | (p[1:] != p[:-1] + 1)
-        starts = np.flatnonzero(begin)
-        ends = np.append(starts[1:], len(k))[: len(starts)]
-        if len(starts):
-            yield _rows(2, np.zeros(len(starts), np.uint64), k[starts], p[starts], p[ends - 1] + 1)
+        once, first, twice, begins, ends = phrases_of(value, key, at)
+        yield _rows(0, group, value[once], key[once], at[once], at[once] + 1)
+        yield _rows(1, group, value[first], key[first], at[first], at[first] + 1)
+        yield _rows(2, group, value[begins], key[begins], at[begins], at[ends - 1] + 1)
+        texts = np.unique(key[twice])
+        none = np.zeros(len(texts), np.int64)
+        yield _rows(3, group, none.astype(np.uint64), texts, none, none)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         held: list[tuple[np.ndarray, ...]] = []
-        words = 0
-        for batch in it:
-            for _, _, w in batches(batch.column(0), SPACED, False):
-                new = _fresh(w, window, seen)
-                value, anchor, doc, at = window_hashes(w, window, seed)
-                keep = new[doc] & only.value.has(signed(anchor)) if len(doc) else new[doc]
-                held.append((value[keep], whole_keys(w)[doc[keep]], at[keep]))
-                words += len(w.hashes)
-                if words >= GROUP_WORDS:
-                    yield from emit(held)
-                    held, words = [], 0
+        group = None
+        for group, full, _, w, new in _grouped(it, window, group_words):
+            value, anchor, doc, at = window_hashes(w, window, seed)
+            keep = new[doc] & only.value.has(signed(anchor)) if len(doc) else new[doc]
+            held.append((value[keep], whole_keys(w)[doc[keep]], at[keep]))
+            if full:
+                yield from emit(group, held)
+                held = []
         if held:
-            yield from emit(held)
+            yield from emit(group, held)
 
-    return in_arrow(docs.select(F.col(f"`{text}`").cast("string").alias("text")), run, "kind int, value long, class long, at long, till long")
+    return in_arrow(_numbered(docs, text), run, "kind int, value long, group long, class long, at long, till long")
 
 
-def _rows(kind: int, value: np.ndarray, key: np.ndarray, at: np.ndarray, till: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(value), kind, np.int32)), pa.array(signed(value)), pa.array(key), pa.array(at.astype(np.int64)), pa.array(till.astype(np.int64))], names=["kind", "value", "class", "at", "till"])
+def _rows(kind: int, group: int, value: np.ndarray, key: np.ndarray, at: np.ndarray, till: np.ndarray) -> pa.RecordBatch:
+    n = len(value)
+    columns = [pa.array(np.full(n, kind, np.int32)), pa.array(signed(value)), pa.array(np.full(n, group, np.int64)), *(pa.array(c.astype(np.int64)) for c in (key, at, till))]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "value", "group", "class", "at", "till"])
 
 
-def _class_texts(docs: DataFrame, text: str, window: int, classes: DataFrame) -> DataFrame:
-    """(class, text): one text of each of the classes (a written column `class`)."""
+def _group_texts(docs: DataFrame, text: str, window: int, group_words: int, classes: DataFrame) -> DataFrame:
+    """(group, class, text): the texts of the classes (a written column `class`), and maybe some more."""
     only = docs.sparkSession.sparkContext.broadcast(key_filter(classes, "class"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in it:
-            for row, _, w in batches(batch.column(0), SPACED, False):
-                at = np.flatnonzero(_fresh(w, window, seen) & only.value.has(whole_keys(w)))
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(whole_keys(w)[at]), batch.column(0).take(pa.array(at + row))], names=["class", "text"])
-
-    return in_arrow(docs.select(F.col(f"`{text}`").cast("string").alias("text")), run, "class long, text string")
+        for group, _, texts, w, new in _grouped(it, window, group_words):
+            keys = whole_keys(w)
+            at = np.flatnonzero(new & only.value.has(keys))
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), group, np.int64)), pa.array(keys[at]), texts.take(pa.array(at))], names=["group", "class", "text"])
+
+    return in_arrow(_numbered(docs, text), run, "group long, class long, text string")
+
+
+def merged(kind: np.ndarray, key: np.ndarray, at: np.ndarray, till: np.ndarray) -> list[tuple[int, int, int]]:
+    """(class, at, till) of phrases: windows of kind 0 that follow each other are one; others stay as they are."""
+    out: list[tuple[int, int, int]] = [tuple(x) for x in np.stack((key, at, till), 1)[kind != 0].tolist()]
+    order = np.lexsort((at[kind == 0], key[kind == 0]))
+    key, at, till = (c[kind == 0][order] for c in (key, at, till))
+    begin = np.ones(len(key), bool)
+    begin[1:] = (key[1:] != key[:-1]) | (at[1:] > till[:-1])
+    starts = np.flatnonzero(begin)
+    if len(starts):
+        out += zip(key[starts].tolist(), at[starts].tolist(), np.append(till[starts[1:] - 1], till[-1]).tolist())
+    return out
+
+
+def lettered(w: Words) -> list[str]:
+    """Each text as a string with LETTERS letters for each word; few letters, since automata look branches up one by one."""
+    words, number = np.unique(w.hashes, return_inverse=True)
+    base = 2
+    while base**LETTERS < len(words):
+        base += 1
+    letters = np.empty((len(number), LETTERS), np.uint32)
+    for i in range(LETTERS):
+        letters[:, i] = number // base**i % base + 1
+    return [letters[a:b].tobytes().decode("utf-32-le") for a, b in zip(w.lo[:-1], w.lo[1:])]
+
+
+def occurrences(texts: list[str], phrases: Iterator[str]) -> list[list[tuple[int, int]]]:
+    """Bounds, in words, of all occurrences of the phrases in each text, by automata of AUTOMATON_WORDS."""
+    found: list[list[tuple[int, int]]] = [[] for _ in texts]
+    automaton, held = ahocorasick.Automaton(ahocorasick.STORE_INTS), 0
+
+    def stream() -> None:
+        automaton.make_automaton()
+        for spans, text in zip(found, texts):
+            # letters that don't end with a word belong to no phrase
+            spans += [((end + 1) // LETTERS - n, (end + 1) // LETTERS) for end, n in automaton.iter(text) if (end + 1) % LETTERS == 0]
+
+    for phrase in phrases:
+        n = len(phrase) // LETTERS
+        if automaton.add_word(phrase, n):
+            held += n
+        if held >= AUTOMATON_WORDS:
+            stream()
+            automaton, held = ahocorasick.Automaton(ahocorasick.STORE_INTS), 0
+    if held:
+        stream()
+    return found
+
+
+def _located(texts: DataFrame, phrases: DataFrame, window: int, with_text: bool) -> DataFrame:
+    """(class, n_cut, cut_sha256, kept) of the texts in which phrases of their group occur."""
+    nothing = F.lit(None)
+    rows = phrases.select("group", "class", "kind", "at", "till", nothing.cast("string").alias("text"))
+    rows = rows.unionByName(texts.select("group", "class", F.lit(4).alias("kind"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("till"), "text"))
+
+    def locate(rows: pa.Table) -> pa.RecordBatch | None:
+        kind, key, at, till = (rows[c].to_numpy() for c in ("kind", "class", "at", "till"))
+        is_text = kind == 4
+        column = rows["text"].combine_chunks().filter(pa.array(is_text))
+        keys = key[is_text].tolist()
+        place = {c: i for i, c in enumerate(keys)}
+        raw = [x.as_py().encode() for x in column]
+        offsets = np.cumsum([0, *map(len, raw)])
+        coded = lettered(tokenize(np.frombuffer(b"".join(raw), np.uint8), offsets, SPACED, False))
+        some = ~is_text
+        wanted = merged(kind[some], key[some], at[some], till[some])
+        found = occurrences(coded, (coded[place[c]][LETTERS * a : LETTERS * (b - 1 + window)] for c, a, b in wanted))
+        got = [(c, *cut_words(t.split(), [(a, b - window + 1) for a, b in spans], window)) for c, t, spans in zip(keys, raw, found) if spans]
+        if not got:
+            return None
+        sha = [hashlib.sha256(x[2]).hexdigest() for x in got]
+        kept = [x[2].decode() if with_text else None for x in got]
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], names=["class", "n_cut", "cut_sha256", "kept"])
+
+    return by_group(rows, ["group"], locate, "class long, n_cut long, cut_sha256 string, kept string")
 
 
 def cut_words(words: list[bytes], runs: list[tuple[int, int]], window: int) -> tuple[int, bytes]:
@@ -184,14 +317,15 @@ def cut_words(words: list[bytes], runs: list[tuple[int, int]], window: int) -> t
     return removed, b" ".join(out + words[at:])
 
 
-def removed(docs: DataFrame, window: int = WINDOW, seed: int = SEED, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+def removed(docs: DataFrame, window: int = WINDOW, seed: int = SEED, key: str = "doc_id", text: str = "text", with_text: bool = False, group_words: int = GROUP_WORDS) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) for each row of docs; with_text adds kept, the words left, joined by one space.
 
     A word is removed if some window of `window` consecutive words over it
     starts at another place of the corpus too, in the same text or another;
     windows are judged on the input. Texts of fewer words, null and empty ones
     lose nothing. Repeated rows are different places. Any length is taken
-    whole. An empty table gives no rows; other columns aren't looked at.
+    whole. An empty table gives no rows; other columns aren't looked at. docs
+    must read the same rows in the same order each time, as a table does.
     """
     spark = docs.sparkSession
     rows = written(_measured(docs, key, text))
@@ -200,27 +334,19 @@ def removed(docs: DataFrame, window: int = WINDOW, seed: int = SEED, key: str =
     places = _anchors(docs, text, window, seed).groupBy("anchor").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.max("often").alias("often"))
     anchors = written(places.where("often OR least <> most").select("anchor"))
     only = spark.sparkContext.broadcast(key_filter(anchors, "anchor"))
-    found = written(_windows(docs, text, window, seed, only))
+    found = written(_windows(docs, text, window, seed, group_words, only))
 
     # a value's rows are one a group of texts at most
     by = Window.partitionBy("value")
     place = F.struct("class", "at")
     open_ = found.where("kind < 2").withColumns({"told": F.max("kind").over(by), "least": F.min(place).over(by), "most": F.max(place).over(by)})
-    confirmed = open_.where("kind = 0 AND (told = 1 OR least <> most)").select("class", "at", "till")
-    runs = confirmed.unionByName(found.where("kind = 2").select("class", "at", "till"))
-    # a class with copies loses all its words anyway
-    runs = runs.join(copies, "class", "left_anti").groupBy("class").agg(F.collect_set(F.struct("at", "till")).alias("runs"))
-    runs = written(runs)
-    texts = _class_texts(docs, text, window, runs.select("class"))
-
-    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            got = [cut_words(t.as_py().encode().split(), [(r["at"], r["till"]) for r in x.as_py()], window) for t, x in zip(batch.column(1), batch.column(2))]
-            sha = [hashlib.sha256(x[1]).hexdigest() for x in got]
-            kept = [x[1].decode() if with_text else None for x in got]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in got], pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], names=["class", "n_cut", "cut_sha256", "kept"])
-
-    cuts = in_arrow(texts.join(runs, "class").select("class", "text", "runs"), cut, "class long, n_cut long, cut_sha256 string, kept string")
+    confirmed = open_.where("kind = 0 AND (told = 1 OR least <> most)").select("kind", "group", "class", "at", "till")
+    # a class with copies loses all its words anyway; phrases of other texts may be read from it
+    confirmed = written(confirmed.join(copies, "class", "left_anti"))
+    phrases = confirmed.unionByName(found.where("kind = 2").select(*confirmed.columns))
+    streamed = found.where("kind = 3").select("class").join(copies, "class", "left_anti")
+    classes = written(phrases.select("class").union(streamed).distinct())
+    cuts = _located(_group_texts(docs, text, window, group_words, classes), phrases, window, with_text)
     cuts = written(cuts.groupBy("class").agg(F.first("n_cut").alias("n_cut"), F.first("cut_sha256").alias("cut_sha256"), F.first("kept").alias("kept")))
     out = rows.join(copies, "class", "left").join(cuts, "class", "left")
     all_gone = F.col("copies").isNotNull()

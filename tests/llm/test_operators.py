@@ -8,9 +8,11 @@ import zlib
 from collections import Counter
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from bunchflow.llm import decontamination, html, jaccard, langid, packing, pii, quality, secrets, sharding, spans, substring
+from bunchflow.llm import decontamination, html, jaccard, langid, packing, pii, quality, secrets, sharding, spans, substring, words
 
 random.seed(3)
 WORDS = [f"w{i}" for i in range(400)]
@@ -251,6 +253,36 @@ def test_substring_removal(spark, docs):
     assert substring.removed(empty(spark)).count() == 0
 
 
+def test_phrase_automata(monkeypatch):
+    rng = random.Random(5)
+    for most in (5, 300_000):
+        monkeypatch.setattr(substring, "AUTOMATON_WORDS", most)
+        for window in (2, 4, 9):
+            texts = [" ".join(rng.choices("abc" if window < 9 else "ab", k=rng.randint(0, 30))) for _ in range(12)]
+            texts += ["a " * 25, " ".join(texts[:3]), texts[4] + " c " + texts[5], "\u00e9 x y z " * 4]
+            _, _, w = next(words.batches(pa.array(texts), words.SPACED, False))
+            value, _, doc, at = substring.window_hashes(w, window, 1)
+            once, first, twice, begins, ends = substring.phrases_of(value, doc, at)
+            assert sorted([*once, *twice]) == list(range(len(value))) and not set(once) & set(twice)
+            assert sum(ends - begins) == len(first) == len(set(value[twice]))
+            coded = substring.lettered(w)
+            n = substring.LETTERS
+            phrases = substring.merged(np.full(len(begins), 2), doc[begins], at[begins], at[ends - 1] + 1)
+            found = substring.occurrences(coded, (coded[c][n * a : n * (b - 1 + window)] for c, a, b in phrases))
+            times = Counter(value.tolist())
+            for i, spans_ in enumerate(found):
+                want = {p + d for v, c, p in zip(value.tolist(), doc, at) if c == i and times[v] > 1 for d in range(window)}
+                assert {x for a, b in spans_ for x in range(a, b)} == want
+    kinds, keys, places = np.array([0, 2, 0, 0, 2]), np.array([1, 1, 1, 2, 1]), np.array([4, 7, 3, 5, 9])
+    assert sorted(substring.merged(kinds, keys, places, places + np.array([1, 2, 1, 1, 1]))) == [(1, 3, 5), (1, 7, 9), (1, 9, 10), (2, 5, 6)]
+
+
+def test_substring_groups(spark, docs):
+    """Small groups give the same rows as one."""
+    want = plain(substring.removed(docs, 10).collect())
+    assert plain(substring.removed(docs, 10, group_words=40).collect()) == want
+
+
 PERSONAL = [
     "mail a.b%c@x-y.example.com, c@d.e@f.g", "1.2.3.4.5.6.7.8 999.1.1.1 0255.1.1.1", "card 4111 1111 1111 1111 or 4111-1111-1111-1112", "+1 (017) 555-7713 and +49 30 1 +12 ", "@@ a@b a@b.c@", "1" * 40,
     "+" * 2000 + "1" * 30, "call (499) 555-6503 now", None, "", "é 5500 0000 0000 0004",
