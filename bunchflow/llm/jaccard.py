@@ -310,6 +310,22 @@ def _blocks(rows: DataFrame, blocks, *group: str) -> DataFrame:
     return rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other", "blocks")
 
 
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """rows with comp, the component of their set."""
+    return rows.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("label", "set")).drop("label")
+
+
+def _of_tokens(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The (token, set, n, rank) rows of the tokens, a written table, and maybe a few more."""
+    only = rows.sparkSession.sparkContext.broadcast(key_filter(tokens, "token"))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            yield batch.filter(pa.array(only.value.has(batch.column(0).to_numpy())))
+
+    return written(in_arrow(rows.select("token", "set", "n", "rank"), run, "token long, set long, n int, rank int"))
+
+
 def _rest(rows: DataFrame, labels: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, text: str, k: int, num: int, den: int) -> DataFrame | None:
     """Links between components, for the (token, size band) groups that hold several.
 
@@ -318,17 +334,18 @@ def _rest(rows: DataFrame, labels: DataFrame, found: DataFrame, reps: DataFrame,
     signature tree compares the shingles of the pairs left.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)) * 1.0000001)).cast("int")
-    held = rows.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("label", "set")).drop("label").withColumn("band", band)
+    measures = [F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.col("n") - F.col("rank")).alias("behind"), F.min("comp").alias("c0"), F.max("comp").alias("c1")]
+    # two sets that link have, behind the first value that they share, enough left in both
+    enough = (F.col("behind") * (num + den) >= (F.col("low") + F.col("high")) * num) & (F.col("low") * den >= F.col("high") * num)
+    hopeful = F.expr("c0 <> c1") & ((F.col("size") > 2) | enough)
+    # most tokens lie in one component or are shared by two sets that can't link: they go before rows are doubled
+    tokens = written(_labelled(rows, labels).groupBy("token").agg(*measures).where(hopeful).select("token"))
+    held = _labelled(_of_tokens(rows, tokens), labels).withColumn("band", band)
     # sets that link are in one band or in two that follow each other: a set is a guest in the next
     bands = F.explode(F.array(F.struct(F.col("band").alias("at"), F.lit(True).alias("own")), F.struct((F.col("band") + 1).alias("at"), F.lit(False).alias("own"))))
     held = held.select("token", "set", "n", "rank", "comp", bands.alias("p")).select("token", "set", "n", "rank", "comp", "p.at", "p.own")
-    mark = F.xxhash64("set", "own")
-    row = F.struct("set", "n", "rank")
-    groups = held.groupBy("token", "at").agg(F.count("*").alias("size"), F.min(row).alias("p"), F.max(row).alias("q"), F.max("own").alias("any_own"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(mark.cast("decimal(38,0)")).alias("mark"))
-    # two sets that link have, behind the first value that they share, enough left in both
-    behind = F.least(F.col("p.n") - F.col("p.rank"), F.col("q.n") - F.col("q.rank"))
-    enough = (behind * (num + den) >= (F.col("p.n") + F.col("q.n")) * num) & (F.least("p.n", "q.n") * den >= F.greatest("p.n", "q.n") * num)
-    groups = groups.where("c0 <> c1 AND any_own").where((F.col("size") > 2) | enough)
+    groups = held.groupBy("token", "at").agg(*measures, F.max("own").alias("any_own"), F.bit_xor(F.xxhash64("set", "own")).alias("mark"))
+    groups = groups.where(hopeful & F.col("any_own"))
     # tokens that the very same sets share make the same group: one of them stays
     groups = groups.groupBy("at", "mark", "size").agg(F.min("token").alias("token"))
     members = written(held.drop("rank").join(groups.select("token", "at", "size"), ["token", "at"]))
