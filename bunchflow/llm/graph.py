@@ -23,6 +23,8 @@ class Filter:
 
     def __init__(self, bits: int):
         self.bits, self.bytes = bits, np.zeros(max(1, (1 << bits) >> 3), np.uint8)
+        #: Whether so many keys are in that more than one other key in twenty passes.
+        self.crowded = False
 
     def _places(self, keys: np.ndarray) -> Iterator[np.ndarray]:
         h = mix(np.asarray(keys).astype(np.int64, copy=False).view(np.uint64) ^ np.uint64(0xA5A5A5A5A5A5A5A5))
@@ -45,6 +47,7 @@ def key_filter(keys: DataFrame, column: str, most_bits: int = FILTER_BITS) -> Fi
     count = keys.count()
     out = Filter(min(most_bits, max(16, (16 * count).bit_length())))
     bits = out.bits
+    out.crowded = count > 1 << (bits - 3)
     if not count:
         return out
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .graph import components, key_filter
-from .tasks import by_group, in_arrow, table, written
+from .tasks import by_group, dropped, in_arrow, table, written
 from .words import SPACED, Words, _ranges, batches, signed
 
 #: Buckets of the count sketch (4 bytes each).
@@ -161,21 +161,35 @@ def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, sketch, ro
 
 
 def _made(docs: DataFrame, text: str, k: int, wanted: DataFrame, make) -> DataFrame:
-    """(set, data) with data = make(values) as bytes for the (set, row) of `wanted`, a written table.
+    """(set, data) with data = make(values) as bytes for the sets of the rows of `wanted`, a written table.
 
     Sets travel as their values: unlike a text of repeated words, they take what
-    their size says.
+    their size says. A few other sets, and a set of several tasks more than once,
+    may come along; where the filter of rows is crowded, a join keeps them out.
     """
-    only = docs.sparkSession.sparkContext.broadcast(key_filter(wanted, "row"))
+    rows = key_filter(wanted, "row")
+    only = docs.sparkSession.sparkContext.broadcast(rows)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in _picked(it, only):
             for row, end, w in batches(batch.column(1), SPACED, True, MOST_TEXTS):
                 value, bounds = shingle_sets(w, k)
-                data = [make(value[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(data, pa.binary())], names=["row", "data"])
+                keys = set_keys(value, bounds)
+                new = np.zeros(len(keys), bool)
+                for i, x in enumerate(keys.tolist()):
+                    if rows_joined or x not in seen:
+                        seen.add(x)
+                        new[i] = True
+                at = np.flatnonzero(new)
+                data = [make(value[bounds[i] : bounds[i + 1]]).tobytes() for i in at]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row).filter(pa.array(new)), pa.array(keys[at]), pa.array(data, pa.binary())], names=["row", "set", "data"])
 
-    return written(in_arrow(_numbered(docs, text), run, "row long, data binary").join(wanted.select("set", "row"), "row").select("set", "data"))
+    rows_joined = rows.crowded
+    made = in_arrow(_numbered(docs, text), run, "row long, set long, data binary")
+    if rows_joined:
+        made = made.join(wanted.select("row"), "row", "left_semi")
+    return written(made.select("set", "data"))
 
 
 def _values(column: pa.Array, dtype=np.uint64) -> list[np.ndarray]:
@@ -326,18 +340,43 @@ def _of_tokens(rows: DataFrame, tokens: DataFrame) -> DataFrame:
     return written(in_arrow(rows.select("token", "set", "n", "rank"), run, "token long, set long, n int, rank int"))
 
 
+def _enough(behind, low, high, num: int, den: int):
+    """Whether sets of sizes low and high can link: both have enough left from the first value on that they share."""
+    return (behind * (num + den) >= (low + high) * num) & (low * den >= high * num)
+
+
+def _brief(num: int, den: int):
+    """A set at one of its tokens in a long: 8 bits of size, 4 of the token's rank, 52 of the set's key.
+
+    size: twelfths of its logarithm to base 2, rounded down, 255 at most; rank:
+    sixteenths of the part of a set that a prefix takes, rounded down, 15 at most.
+    """
+    size = F.least(F.floor(F.log2(F.col("n").cast("double")) * 12), F.lit(255))
+    rank = F.least(F.floor(F.col("rank") * (16 * den) / (F.col("n") * (den - num))), F.lit(15)) if den > num else F.lit(0)
+    return F.shiftleft(size.cast("long"), 56).bitwiseOR(F.shiftleft(rank.cast("long"), 52)).bitwiseOR(F.col("set").bitwiseAND((1 << 52) - 1))
+
+
+def _briefly(num: int, den: int):
+    """_enough for the two sets that least and most describe, by bounds: never false for sets that link."""
+    size, rank = ([F.shiftrightunsigned(c, at).bitwiseAND(mask).cast("double") for c in ("least", "most")] for at, mask in ((56, 255), (52, 15)))
+    hopeful = F.lit(True)
+    for i, j in ((0, 1), (1, 0)):
+        ratio = F.pow(F.lit(2.0), (size[j] - size[i] - 1) / 12)  # size j is at least so many times size i
+        left = 1 - rank[i] * ((den - num) / (16 * den))  # the part of i from the token on, at most
+        hopeful &= (ratio * num <= den * (1 + 1e-9)) & (left * (1 + 1e-9) >= (1 + ratio) * (num / (num + den)))
+    return hopeful | (F.greatest(*size) == 255)
+
+
 def _rest(rows: DataFrame, labels: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, text: str, k: int, num: int, den: int) -> DataFrame | None:
     """Links between components, for the (token, size band) groups that hold several.
 
-    Signature trees over the groups' bitmaps give clusters of sets that may
+    rows is a written table, and so is the result. Signature trees over the groups' bitmaps give clusters of sets that may
     link, as spanning edges; then each set goes once to its cluster, whose
     signature tree compares the shingles of the pairs left.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)) * 1.0000001)).cast("int")
     measures = [F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.col("n") - F.col("rank")).alias("behind"), F.min("comp").alias("c0"), F.max("comp").alias("c1")]
-    # two sets that link have, behind the first value that they share, enough left in both
-    enough = (F.col("behind") * (num + den) >= (F.col("low") + F.col("high")) * num) & (F.col("low") * den >= F.col("high") * num)
-    hopeful = F.expr("c0 <> c1") & ((F.col("size") > 2) | enough)
+    hopeful = F.expr("c0 <> c1") & ((F.col("size") > 2) | _enough(F.col("behind"), F.col("low"), F.col("high"), num, den))
     # most tokens lie in one component or are shared by two sets that can't link: they go before rows are doubled
     tokens = written(_labelled(rows, labels).groupBy("token").agg(*measures).where(hopeful).select("token"))
     held = _labelled(_of_tokens(rows, tokens), labels).withColumn("band", band)
@@ -366,6 +405,7 @@ def _rest(rows: DataFrame, labels: DataFrame, found: DataFrame, reps: DataFrame,
 
     paired = paired.select("token", "at", "x", "y", "set", "n", "comp", F.col("own").cast("int").alias("own"), "block", "data")
     may = written(by_group(paired, ["token", "at", "x", "y"], cluster, "a long, b long").distinct())
+    dropped(maps, members)
     if not may.limit(1).count():
         return None
     clusters = components(found.unionByName(may)).withColumnRenamed("node", "set").withColumnRenamed("label", "cluster")
@@ -392,7 +432,9 @@ def _rest(rows: DataFrame, labels: DataFrame, found: DataFrame, reps: DataFrame,
         return _edges(traversed(tree, comp.tolist(), joins, num, den), key)
 
     searched = searched.select("cluster", "x", "y", "set", "n", "comp", "block", "data")
-    return by_group(searched, ["cluster", "x", "y"], search, "a long, b long")
+    out = written(by_group(searched, ["cluster", "x", "y"], search, "a long, b long"))
+    dropped(values, sizes)
+    return out
 
 
 def _edges(pairs: list[tuple[int, int]], key: np.ndarray) -> pa.RecordBatch | None:
@@ -424,8 +466,10 @@ def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", te
     sketch = spark.sparkContext.broadcast(counts)
     first = spark.sparkContext.broadcast(key_filter(reps, "row"))
 
-    tokens = _prefixes(docs, text, k, num, den, sketch, first, None).groupBy("token").agg(F.min("set").alias("least"), F.max("set").alias("most"))
-    tokens = written(tokens.where("least <> most").select("token"))
+    tokens = _prefixes(docs, text, k, num, den, sketch, first, None).select("token", _brief(num, den).alias("brief"))
+    tokens = tokens.groupBy("token").agg(F.min("brief").alias("least"), F.max("brief").alias("most"), F.count("*").alias("size"))
+    # most shared tokens are chance: their two sets differ too much in size, or would have to share one before
+    tokens = written(tokens.where((F.col("least") != F.col("most")) & ((F.col("size") > 2) | _briefly(num, den))).select("token"))
     only = spark.sparkContext.broadcast(key_filter(tokens, "token"))
     shared = written(_prefixes(docs, text, k, num, den, sketch, first, only).distinct())
 
@@ -439,12 +483,12 @@ def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", te
     both = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
     sets = _made(docs, text, k, written(reps.join(both, "set", "left_semi")), lambda x: x)
     found = written(_verified(pairs, sets, num, den))
+    dropped(sets)
     labels = components(found)
     more = _rest(shared, labels, found, reps, docs, text, k, num, den)
-    if more is not None:
-        more = written(more)
-        if more.limit(1).count():
-            labels = components(found.unionByName(more))
+    dropped(shared, tokens)
+    if more is not None and more.limit(1).count():
+        labels = components(found.unionByName(more))
 
     joined = rows.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("group", F.when(F.col("n_shingles") > 0, F.coalesce("label", "set")))
     joined = written(joined.select("id", "n_shingles", "group"))
