@@ -503,8 +503,19 @@ def deduplicated(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, tex
     """
     numbered = docs.select(*[F.col(f"`{c}`").alias(f"__in_{c}") for c in docs.columns], F.monotonically_increasing_id().alias("__row"))
     found = grouped(numbered, k, num, den, "__row", f"__in_{text}")
-    stay = written(found.where("id = component_id").select(F.col("id").alias("__row")))
-    return numbered.join(stay, "__row", "left_semi").select(*[F.col(f"`__in_{c}`").alias(c) for c in docs.columns])
+    go = written(found.where("id <> component_id").select(F.col("id").alias("__row")))
+    only = docs.sparkSession.sparkContext.broadcast(key_filter(go, "__row"))
+
+    def held(passes: bool):
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in it:
+                yield batch.filter(pa.array(only.value.has(batch.column(batch.num_columns - 1).to_numpy()) == passes))
+
+        return in_arrow(numbered, run, numbered.schema)
+
+    # the filter never misses a row that goes, so only rows that pass it, not all texts, are shipped to be looked up
+    stay = held(False).unionByName(held(True).join(go, "__row", "left_anti"))
+    return stay.select(*[F.col(f"`__in_{c}`").alias(c) for c in docs.columns])
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
