@@ -342,6 +342,7 @@ def _of_tokens(rows: DataFrame, tokens: DataFrame) -> DataFrame:
 
 def _enough(behind, low, high, num: int, den: int):
     """Whether sets of sizes low and high can link: both have enough left from the first value on that they share."""
+    behind, low, high = (c.cast("long") for c in (behind, low, high))
     return (behind * (num + den) >= (low + high) * num) & (low * den >= high * num)
 
 
@@ -352,7 +353,7 @@ def _brief(num: int, den: int):
     sixteenths of the part of a set that a prefix takes, rounded down, 15 at most.
     """
     size = F.least(F.floor(F.log2(F.col("n").cast("double")) * 12), F.lit(255))
-    rank = F.least(F.floor(F.col("rank") * (16 * den) / (F.col("n") * (den - num))), F.lit(15)) if den > num else F.lit(0)
+    rank = F.least(F.floor(F.col("rank").cast("double") * (16 * den) / (F.col("n").cast("double") * (den - num))), F.lit(15)) if den > num else F.lit(0)
     return F.shiftleft(size.cast("long"), 56).bitwiseOR(F.shiftleft(rank.cast("long"), 52)).bitwiseOR(F.col("set").bitwiseAND((1 << 52) - 1))
 
 
@@ -475,10 +476,10 @@ def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", te
 
     leaders = shared.groupBy("token").agg(F.min(F.struct("set", "n")).alias("lead"), F.max("set").alias("most")).where("lead.set <> most")
     meets = shared.join(leaders, "token").where(F.col("set") != F.col("lead.set"))
-    meets = meets.where(F.least("n", "lead.n") * den >= F.greatest("n", "lead.n") * num)
+    meets = meets.where(F.least("n", "lead.n").cast("long") * den >= F.greatest("n", "lead.n").cast("long") * num)
     times = meets.groupBy("set", "n", F.col("lead.set").alias("lead")).agg(F.count("*").alias("times"))
     # two sets that link share at least one value of their prefixes; a leader that shares a tenth of it is worth a look
-    pairs = times.groupBy("set", "n").agg(F.max(F.struct("times", "lead")).alias("best")).where(F.col("best.times") * 10 * den >= F.col("n") * (den - num))
+    pairs = times.groupBy("set", "n").agg(F.max(F.struct("times", "lead")).alias("best")).where(F.col("best.times") * 10 * den >= F.col("n").cast("long") * (den - num))
     pairs = written(pairs.select(F.col("set").alias("a"), F.col("best.lead").alias("b")))
     both = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
     sets = _made(docs, text, k, written(reps.join(both, "set", "left_semi")), lambda x: x)

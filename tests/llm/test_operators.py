@@ -397,3 +397,26 @@ def test_language_id(spark, sf_dir):
     assert [model.predict(t)[0] for t in ("aa", "zzz", None, "", "123 ²", "AB!")] == ["x", "y", "und", "und", "und", "x"]
     assert langid.identified(empty(spark), langid.fit(empty(spark))).count() == 0
     assert langid.fit(empty(spark)).predict("abc") == ("und", 0.0)
+
+
+@pytest.mark.parametrize(("num", "den"), [(80, 100), (85, 100)])
+def test_brief_sets_lose_no_link(spark, num, den):
+    """Where the exact bound lets two sets of a token pass, their short forms let them pass too."""
+    from pyspark.sql import functions as F
+
+    from bunchflow.llm.jaccard import _brief, _briefly, _enough
+
+    rng = np.random.default_rng(5)
+    n = np.concatenate((rng.integers(1, 40, 4000), rng.integers(1, 30_000, 4000), rng.integers(1 << 20, 1 << 23, 500)))
+    other = np.maximum(1, (n * rng.uniform(0.7, 1.4, len(n))).astype(int))
+    rows = [(int(a), int(b), int(rng.integers(0, a - (num * a + den - 1) // den + 1)), int(rng.integers(0, b - (num * b + den - 1) // den + 1))) for a, b in zip(n, other)]
+    pairs = spark.createDataFrame(rows, "a int, b int, ra int, rb int")
+    briefs = pairs.select("*", F.xxhash64("a", "ra").alias("sa"), F.xxhash64("b", "rb").alias("sb"))
+    for side, name in (("a", "least"), ("b", "most")):
+        kept = [c for c in briefs.columns]
+        briefs = briefs.withColumns({"n": F.col(side), "rank": F.col(f"r{side}"), "set": F.col(f"s{side}")}).select(*kept, _brief(num, den).alias(name))
+    exact = _enough(F.least(F.col("a") - F.col("ra"), F.col("b") - F.col("rb")), F.least("a", "b"), F.greatest("a", "b"), num, den)
+    got = briefs.select(exact.alias("exact"), _briefly(num, den).alias("brief")).groupBy("exact", "brief").count().collect()
+    counts = {(r["exact"], r["brief"]): r["count"] for r in got}
+    assert counts.get((True, False), 0) == 0
+    assert counts[True, True] > 500 and counts[False, False] > 500
