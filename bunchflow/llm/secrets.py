@@ -3,19 +3,24 @@
 Grammar inference: labelled credentials, as sequences of character classes,
 make a prefix tree with counts for each format; states whose outgoing
 frequencies agree by Hoeffding's bound (and whose successors do) are merged,
-oldest first, into a probabilistic automaton. Every candidate token is scored by
-its log likelihood a symbol under each automaton against a background of
-ordinary tokens; one that some format explains well enough is a span of kind
-`learned`, unless it touches a base span.
+oldest first, into a probabilistic automaton. Candidates are runs of credential
+characters and their parts: a part starts with the run, behind a delimiter or at
+a prefix that all examples of a format have, and ends with the run, before a
+delimiter or behind padding. Each is scored by its log likelihood a symbol under
+each automaton, the end's probability included, against a background of ordinary
+tokens; one that some format explains well enough is a span of kind `learned`,
+unless it touches a base span.
 
 Documents that can't hold a match are passed over by byte searches on whole
-chunks; the others are searched as a whole. Texts of any length cost time in
-proportion to their length.
+chunks; the others are searched as a whole. Texts cost time in proportion to
+their length, but for runs crafted to stay just below what is accepted: a walk
+over a part ends DROP bits below.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 from collections.abc import Iterable
@@ -38,9 +43,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: Byte strings of which a text with an assign or access match has one, in lower case.
 NEEDLES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key", b"akia")
-#: A candidate: a maximal run of credential characters, of at least LEAST.
+#: A maximal run of credential characters, of at least LEAST; it and its parts are candidates.
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 LEAST = 20
+DELIMITERS = "=/-"
 
 #: Public credential formats as (name, prefix, alphabet, least and greatest length after the prefix).
 LETTERS_LOW, LETTERS_UP, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -59,6 +65,9 @@ ALPHA = 0.05
 #: Least advantage over the background, in bits a symbol, and most bits a symbol below the format's own mean.
 ADVANTAGE = 0.35
 SLACK = 0.8
+#: Bits below what is accepted at which a walk over a run is given up, and symbols in which a later start may replace an earlier one.
+DROP = 24.0
+NEAR = 64
 
 
 def classes(token: str) -> str:
@@ -70,9 +79,10 @@ _CLASS = {ord(c): "h" if c in "abcdef" else "l" for c in LETTERS_LOW} | {ord(c):
 
 
 def labelled(seed: int = 5) -> list[tuple[str, str]]:
-    """Seeded examples (format, credential) of FORMATS."""
+    """Seeded examples (format, credential) of FORMATS; base64 is padded to whole groups of four."""
     rng = random.Random(seed)
-    return [(name, prefix + "".join(rng.choices(alphabet, k=rng.randint(a, b)))) for name, prefix, alphabet, a, b in FORMATS for _ in range(EXAMPLES)]
+    out = [(name, prefix + "".join(rng.choices(alphabet, k=rng.randint(a, b)))) for name, prefix, alphabet, a, b in FORMATS for _ in range(EXAMPLES)]
+    return [(name, x + "=" * (-len(x) % 4 % 3) if name == "base64_key" else x) for name, x in out]
 
 
 class Automaton:
@@ -149,18 +159,19 @@ class Automaton:
                 blue += [(p, x) for p in red for x in sorted(self.next[p]) if self.next[p][x] not in red and (p, x) not in blue]
         self.states = len(red)
         logs = {p: {c: math.log2(k / self.seen[p]) for c, k in self.times[p].items()} for p in red}
+        self.end = {p: math.log2(self.ends[p] / self.seen[p]) for p in red if self.ends[p]}
         self.logs, self.next = logs, {p: self.next[p] for p in red}
         self.times = self.ends = self.seen = None
 
     def bits(self, symbols: str) -> float | None:
-        """Mean log2 likelihood of a symbol, or None for a sequence that the automaton can't make."""
+        """Mean log2 likelihood of a symbol and of the end, or None for a sequence that the automaton can't make."""
         state, total = 0, 0.0
         for c in symbols:
             if c not in self.logs[state]:
                 return None
             total += self.logs[state][c]
             state = self.next[state][c]
-        return total / max(len(symbols), 1)
+        return (total + self.end[state]) / (len(symbols) + 1) if state in self.end else None
 
 
 #: log2 likelihood of a symbol in ordinary tokens of letters, where a digit or a change of case is rare.
@@ -172,22 +183,66 @@ class Formats:
     def __init__(self, examples: list[tuple[str, str]]):
         self.automata = []
         for name in dict.fromkeys(x[0] for x in examples):
-            own = [classes(x) for n, x in examples if n == name]
+            tokens = [x for n, x in examples if n == name]
+            own = [classes(x) for x in tokens]
             a = Automaton(own)
             mean = sum(a.bits(x) or 0.0 for x in own) / len(own)
-            self.automata.append((name, a, mean, min(map(len, own)), max(map(len, own))))
+            self.automata.append((os.path.commonprefix(tokens), a, mean))
+
+    def _ends(self, a: Automaton, mean: float, run: str, symbols: str, start: int) -> tuple[float, int] | None:
+        """(odds in bits, end) of the longest part from start that the format explains; letters and digits are mixed throughout."""
+        state, got, usual, best = 0, 0.0, 0.0, None
+        digits, different = 0, set()
+        for i in range(start, len(run)):
+            c = symbols[i]
+            if c not in a.logs[state]:
+                break
+            digits += c == "d"
+            different.add(run[i])
+            got += a.logs[state][c]
+            usual += BACKGROUND.get(c, RARE)
+            state, n = a.next[state][c], i + 1 - start
+            short = min(got - usual - ADVANTAGE * n, got - (mean - SLACK) * n)
+            if short < -DROP:
+                break
+            if n >= LEAST and state in a.end and (i + 1 == len(run) or run[i + 1] in DELIMITERS or run[i] == "="):
+                whole = got + a.end[state]
+                if whole - usual >= ADVANTAGE * n and whole >= (mean - SLACK) * (n + 1) and 3 <= digits < n and len(different) >= 8:
+                    best = whole - usual, i + 1
+        return best
+
+    def spans(self, run: str) -> list[tuple[int, int]]:
+        """Disjoint parts of a run that formats explain: those of formats with a prefix, then the likeliest others."""
+        symbols, taken = classes(run), []
+        for prefix, a, mean in self.automata:
+            at = run.find(prefix) if prefix else -1
+            while at >= 0:
+                got = None if overlaps(at, at + 1, taken) else self._ends(a, mean, run, symbols, at)
+                if got:
+                    taken.append(("", at, got[1]))
+                at = run.find(prefix, got[1] if got else at + 1)
+        starts = [0, *(i + 1 for i, c in enumerate(run) if c in DELIMITERS)]
+        held: tuple[float, int, int] | None = None
+        for at in starts:
+            if held and held[1] + NEAR <= at < held[2] or overlaps(at, at + 1, taken):
+                continue
+            for prefix, a, mean in self.automata:
+                got = None if prefix else self._ends(a, mean, run, symbols, at)
+                if not got or overlaps(at, got[1], taken):
+                    continue
+                if held and at >= held[2]:
+                    taken.append(("", *held[1:]))
+                    held = None
+                if not held or got[0] > held[0]:
+                    held = got[0], at, got[1]
+        if held:
+            taken.append(("", *held[1:]))
+        return sorted((x, y) for _, x, y in taken)
 
     def accepts(self, token: str) -> bool:
-        """Letters and digits are mixed throughout, and some format is likelier than the background."""
-        digits = sum(c.isdigit() for c in token)
-        if digits < 3 or digits == len(token) or len(set(token)) < 8:
-            return False
+        """Whether some format explains the whole token better than the background."""
         symbols = classes(token)
-        usual = sum(BACKGROUND.get(c, RARE) for c in symbols) / len(symbols)
-        for _, a, mean, least, most in self.automata:
-            if least <= len(token) <= most and (got := a.bits(symbols)) is not None and got - usual >= ADVANTAGE and got >= mean - SLACK:
-                return True
-        return False
+        return any((got := self._ends(a, mean, token, symbols, 0)) and got[1] == len(token) for _, a, mean in self.automata)
 
 
 @lru_cache(maxsize=1)
@@ -204,7 +259,8 @@ def base_spans(text: str) -> list[Span]:
 def find(text: str, formats: Formats) -> list[Span]:
     """Base spans, then learned ones that touch none of them; code points, end exclusive."""
     base = base_spans(text)
-    return base + [("learned", m.start(), m.end()) for m in CANDIDATE.finditer(text) if not overlaps(m.start(), m.end(), base) and formats.accepts(m.group())]
+    learned = [("learned", m.start() + a, m.start() + b) for m in CANDIDATE.finditer(text) for a, b in formats.spans(m.group())]
+    return base + [x for x in learned if not overlaps(*x[1:], base)]
 
 
 _RUN = np.zeros(256, bool)

@@ -239,6 +239,20 @@ def test_learned_formats():
     assert spans.replaced("a ghp b", [("hex", 2, 5)]) == "a [HEX] b"
 
 
+def test_secrets_inside_runs():
+    import base64
+
+    formats, rng = secrets.default_formats(), random.Random(12)
+    forge, chart = "ghp_" + "a1B2c3D4e5" * 3 + "F6g7H8", "AIza" + "SyD4f-kQ9xL2mN7pR3tV8wZ1bC5gH6jK0_Y"
+    for before, x, after in [("export GH=", forge, ""), ("https://a.b/x?key=", chart, "&y=1"), ("https://a.b/keys/", forge, "/edit"), ("https://a.b/keys/", chart, ""), ("x-y-", forge, " ok")]:
+        assert ("learned", len(before), len(before) + len(x)) in secrets.find(before + x + after, formats)
+    found = 0
+    for n in [32] * 50 + [64] * 50:
+        x = base64.b64encode(rng.randbytes(n)).decode()
+        found += any(a <= 4 and 4 + len(x) <= b for _, a, b in secrets.find(f"KEY={x} ", formats))
+    assert found >= 90
+
+
 def test_substring_removal(spark, docs):
     rows = corpus()
     for window in (35, 10):
