@@ -7,9 +7,9 @@ oldest first, into a probabilistic automaton. Candidates are runs of credential
 characters and their parts: a part starts with the run, behind a delimiter or at
 a prefix that all examples of a format have, and ends with the run, before a
 delimiter or behind padding. Each is scored by its log likelihood a symbol under
-each automaton, the end's probability included, against a background of ordinary
-tokens; one that some format explains well enough is a span of kind `learned`,
-unless it touches a base span.
+each automaton, the end's probability included, against two backgrounds: words
+and numbers in turn, and few characters over and over. One that some format
+explains well enough is a span of kind `learned`, unless it touches a base span.
 
 Documents that can't hold a match are passed over by byte searches on whole
 chunks; the others are searched as a whole. Texts cost time in proportion to
@@ -174,9 +174,21 @@ class Automaton:
         return (total + self.end[state]) / (len(symbols) + 1) if state in self.end else None
 
 
-#: log2 likelihood of a symbol in ordinary tokens of letters, where a digit or a change of case is rare.
-BACKGROUND = {"h": math.log2(0.3), "l": math.log2(0.62), "H": math.log2(0.01), "U": math.log2(0.03), "d": math.log2(0.03)}
-RARE = math.log2(0.01)
+def _logs(**share: float) -> dict[str, float]:
+    return {c: math.log2(x) for c, x in share.items()}
+
+
+#: log2 likelihood of a symbol in ordinary small words, capital words and numbers, and of any other symbol; bits that a change of these costs.
+BACKGROUND = (
+    (_logs(h=0.3, l=0.62, H=0.01, U=0.03, d=0.03), math.log2(0.01)),
+    (_logs(h=0.01, l=0.03, H=0.3, U=0.62, d=0.03), math.log2(0.01)),
+    (_logs(h=0.005, l=0.005, H=0.005, U=0.005, d=0.9), math.log2(0.05)),
+)
+CHANGE = 9.0
+#: log2 of the characters of a class; bits that name one character of a token of few, and bits a symbol against such a token.
+WIDTH = {c: math.log2(n) for c, n in (("h", 6), ("l", 20), ("H", 6), ("U", 20), ("d", 10))}
+NAMED = 6.0
+OVER = 1.0
 
 
 class Formats:
@@ -190,25 +202,29 @@ class Formats:
             self.automata.append((os.path.commonprefix(tokens), a, mean))
 
     def _ends(self, a: Automaton, mean: float, run: str, symbols: str, start: int) -> tuple[float, int] | None:
-        """(odds in bits, end) of the longest part from start that the format explains; letters and digits are mixed throughout."""
-        state, got, usual, best = 0, 0.0, 0.0, None
-        digits, different = 0, set()
+        """(odds in bits, end) of the longest part from start that the format explains better than both backgrounds."""
+        state, got, best = 0, 0.0, None
+        usual, kinds = 0.0, [0.0] * len(BACKGROUND)
+        width, different = 0.0, set()
         for i in range(start, len(run)):
             c = symbols[i]
             if c not in a.logs[state]:
                 break
-            digits += c == "d"
             different.add(run[i])
+            width += WIDTH.get(c, 0.0)
             got += a.logs[state][c]
-            usual += BACKGROUND.get(c, RARE)
+            kinds = [max(x, usual - CHANGE) + logs.get(c, rare) for x, (logs, rare) in zip(kinds, BACKGROUND)]
+            usual = max(kinds)
             state, n = a.next[state][c], i + 1 - start
-            short = min(got - usual - ADVANTAGE * n, got - (mean - SLACK) * n)
+            few = width - n * (math.log2(len(different)) + OVER) - NAMED * len(different)
+            plain = max(usual, few)
+            short = min(got - plain - ADVANTAGE * n, got - (mean - SLACK) * n)
             if short < -DROP:
                 break
             if n >= LEAST and state in a.end and (i + 1 == len(run) or run[i + 1] in DELIMITERS or run[i] == "="):
                 whole = got + a.end[state]
-                if whole - usual >= ADVANTAGE * n and whole >= (mean - SLACK) * (n + 1) and 3 <= digits < n and len(different) >= 8:
-                    best = whole - usual, i + 1
+                if whole - plain >= ADVANTAGE * n and whole >= (mean - SLACK) * (n + 1):
+                    best = whole - plain, i + 1
         return best
 
     def spans(self, run: str) -> list[tuple[int, int]]:

@@ -239,6 +239,16 @@ def test_learned_formats():
     assert spans.replaced("a ghp b", [("hex", 2, 5)]) == "a [HEX] b"
 
 
+def test_secrets_of_few_digits():
+    formats, rng = secrets.default_formats(), random.Random(13)
+    for name, prefix, alphabet, a, b in secrets.FORMATS:
+        drawn = [prefix + "".join(rng.choices(alphabet, k=rng.randint(a, b))) for _ in range(300)]
+        assert sum(map(formats.accepts, drawn)) >= 280 - 10 * (name == "base64_key"), name
+    assert formats.accepts("sk_live_" + "aQwErTyUiOpLkJhGfDsZxCvB") and formats.accepts("ghp_" + "QaWsEdRfTgYhUjIkOlPzXmCnVbqLwKeJrHtG")
+    clean = ["INTERNATIONALIZATIONSUPPORT", "articles/2024/11/26/12345/67890", "getDefaultBrowserWindowTitle", "ABABABABABABABABABABABAB", "src/main/java/org/example/Main"]
+    assert not any(formats.spans(x) for x in clean)
+
+
 def test_secrets_inside_runs():
     import base64
 
