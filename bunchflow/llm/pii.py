@@ -1,6 +1,6 @@
 """Personal data: base patterns, and spans that a classifier of weakly supervised candidates adds.
 
-Candidates are broad matches: mail-like, number-like and address-like runs.
+Candidates are broad matches: mail-like and number-like runs; postal addresses are not looked for.
 Labelers vote on each (yes, no, or abstain): regular expressions, checksums,
 gazetteers and context words. The votes of all candidates of all documents are
 counted by pattern (a bounded number of patterns, counted in Spark);
@@ -92,6 +92,7 @@ def base_spans(text: str) -> list[Span]:
 
 _NUMBER = re.compile(r"(?<![\w.+-])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,18}(?![\w])")
 _MAIL = re.compile(r"(?<!\w)[\w.+-]{2,64}\x20?(?:@|\[at\]|\(at\))\x20?[\w-]{2,64}(?:\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z]{2,10})+(?!\w)")
+_DOT = re.compile(r"\.|\[dot\]|\(dot\)")
 
 
 def candidates(text: str) -> list[Span]:
@@ -109,11 +110,14 @@ def votes(text: str, kind: str, a: int, b: int, base: list[Span]) -> str:
     after = re.findall(r"[\w-]+", text[b : b + 20].lower())[:1]
     separators = [c for c in span if c in " -."]
     grouped = bool(re.fullmatch(r"\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}|\d{3}-\d{2}-\d{4}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}", span))
+    # a number that is named as a phone's or an account's needs no separators, and no card's checksum
+    named = any(w in CALL_WORDS or w in NUMBER_WORDS and w != "card" for w in before)
+    spelt = kind == "mail" and ("at]" in span or "at)" in span)
     seen = [
-        "+" if any(x <= a and b <= y or a <= x and y <= b for _, x, y in base) else "0",  # a strict pattern
-        "+" if len(digits) >= 13 and luhn(digits) else "-" if len(digits) >= 13 and kind == "number" else "0",  # checksum
-        "+" if grouped else "-" if kind == "number" and not separators and len(digits) < 13 else "0",  # shape
-        "+" if kind == "mail" and span.rsplit(".", 1)[-1].lower() in DOMAINS else "-" if kind == "mail" else "0",  # gazetteer
+        "+" if spelt or any(x <= a and b <= y or a <= x and y <= b for _, x, y in base) else "0",  # a strict pattern
+        "+" if len(digits) >= 13 and luhn(digits) else "-" if len(digits) >= 13 and kind == "number" and not named else "0",  # checksum
+        "+" if grouped else "-" if kind == "number" and not separators and len(digits) < 13 and not named else "0",  # shape
+        "+" if kind == "mail" and _DOT.split(span)[-1].strip().lower() in DOMAINS else "0",  # gazetteer
         "+" if any(w in MAIL_WORDS or w in CALL_WORDS or w in NUMBER_WORDS for w in before) else "0",  # context before
         "-" if after and after[0] in UNITS else "0",  # context after
         "-" if re.fullmatch(r"(19|20)\d\d[.-]\d\d[.-]\d\d|\d+\.\d+", span) else "0",  # dates and decimals
@@ -170,8 +174,8 @@ class Classifier:
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot(self.vector(pattern), self.w)))))))
 
     def accepts(self, pattern: str) -> bool:
-        """Sure enough, and at least one labeler says yes and none says no."""
-        return "+" in pattern[:LABELERS] and "-" not in pattern[:LABELERS] and self.share(pattern) >= ACCEPT
+        """Sure enough: no labeler's vote alone decides."""
+        return self.share(pattern) >= ACCEPT
 
 
 _HINT = np.zeros(256, bool)

@@ -337,6 +337,21 @@ def test_labelers_are_weighed(spark):
     assert pii.scanned(empty(spark)).count() == 0
 
 
+def test_no_labeler_vetoes(spark):
+    texts = [f"contact jane{i} [at] firm{i} [dot] {d}" for i in range(30) for d in ("com", "it", "pl")] + [f"call (499) 555-{i:04d} today" for i in range(40)]
+    texts += [f"it is {i}{i}{i}{i}{i}{i}{i} km" for i in range(1, 40)] + [f"+1 (499) 555-{i:04d}" for i in range(60)] + [f"the {i:08d} pages of it" for i in range(40)]
+    texts += [f"phone 415555{i:04d} now" for i in range(40)] + [f"jane{i}@firm.com" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.text: [x.kind for x in r.personal_data] for r in pii.scanned(df).collect()}
+    assert found["contact jane3 [at] firm3 [dot] com"] == found["contact jane3 [at] firm3 [dot] it"] == found["phone 4155550003 now"] == ["learned"]
+    assert found["it is 3333333 km"] == [] and found["the 00000012 pages of it"] == []
+    pattern = pii.votes("contact jane [at] firm [dot] com", "mail", 8, 32, [])
+    assert pattern[3] == "+" and pii.votes("contact jane [at] firm [dot] it", "mail", 8, 31, [])[3] == "0"
+    classifier = pii.Classifier({}, {})
+    classifier.w[-1] = 9.0  # sure of every span
+    assert classifier.accepts("00-0+000000001")
+
+
 def test_decontamination(spark, docs):
     table = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
