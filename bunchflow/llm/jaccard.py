@@ -75,14 +75,19 @@ def links(inter: int, a: int, b: int, num: int, den: int) -> bool:
     return den * inter >= num * (a + b - inter) and inter > 0
 
 
-def _numbered(docs: DataFrame, text: str) -> DataFrame:
-    """(row, text): rows by number. A table's rows have the same numbers each time that it is read."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+def _numbered(docs: DataFrame, key: str, text: str, row: str | None) -> DataFrame:
+    """(id, row, text) of docs, whose rows keep their numbers however often and in whatever parts they are read.
+
+    Numbers that a scan makes up depend on how it splits the files, so they are
+    written; a column of docs named by row holds numbers that were.
+    """
+    number = F.col(f"`{row}`") if row else F.monotonically_increasing_id()
+    out = docs.select(F.col(f"`{key}`").alias("id"), number.alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    return out if row else written(out)
 
 
-def _measured(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+def _measured(data: DataFrame, k: int) -> DataFrame:
     """kind 0: (id, row, n, set) of each document; kind 1: (row, n) as (bucket, times) of a task's frequent buckets."""
-    data = docs.select(F.col(f"`{key}`").alias("id"), F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
     schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("id", data.schema["id"].dataType), *(T.StructField(c, T.LongType()) for c in ("row", "n", "set"))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +162,7 @@ def _prefixes(docs: DataFrame, text: str, k: int, num: int, den: int, sketch, ro
                     keep &= only.value.has(signed(token))
                 yield pa.RecordBatch.from_arrays([pa.array(signed(token[keep])), pa.array(keys[doc[keep]]), pa.array(n[doc[keep]].astype(np.int32)), pa.array(rank[keep].astype(np.int32))], names=["token", "set", "n", "rank"])
 
-    return in_arrow(_numbered(docs, text), run, "token long, set long, n int, rank int")
+    return in_arrow(docs.select("row", "text"), run, "token long, set long, n int, rank int")
 
 
 def _made(docs: DataFrame, text: str, k: int, wanted: DataFrame, make) -> DataFrame:
@@ -186,7 +191,7 @@ def _made(docs: DataFrame, text: str, k: int, wanted: DataFrame, make) -> DataFr
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row).filter(pa.array(new)), pa.array(keys[at]), pa.array(data, pa.binary())], names=["row", "set", "data"])
 
     rows_joined = rows.crowded
-    made = in_arrow(_numbered(docs, text), run, "row long, set long, data binary")
+    made = in_arrow(docs.select("row", "text"), run, "row long, set long, data binary")
     if rows_joined:
         made = made.join(wanted.select("row"), "row", "left_semi")
     return written(made.select("set", "data"))
@@ -445,7 +450,7 @@ def _edges(pairs: list[tuple[int, int]], key: np.ndarray) -> pa.RecordBatch | No
     return pa.RecordBatch.from_arrays([pa.array(key[at[:, 0]]), pa.array(key[at[:, 1]])], names=["a", "b"])
 
 
-def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
     """(id, n_shingles, component_id) for each row of docs: the set's size, and the least id that links reach.
 
     Two rows link when den * |A & B| >= num * |A | B| for their sets of distinct
@@ -456,7 +461,8 @@ def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", te
     are taken whole. An empty table gives no rows. Other columns aren't looked at.
     """
     spark = docs.sparkSession
-    measured = written(_measured(docs, key, text, k))
+    docs, text = _numbered(docs, key, text, row), "text"
+    measured = written(_measured(docs, k))
     rows = measured.where("kind = 0").select("id", F.col("n").alias("n_shingles"), "set")
     # each set's first row stands for it
     reps = written(measured.where("kind = 0 AND n > 0").groupBy("set").agg(F.min("row").alias("row"), F.first("n").alias("n")))
@@ -498,12 +504,9 @@ def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", te
 
 
 def deduplicated(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:
-    """One row of each group of near copies (the first by row number), with the columns of docs.
-
-    docs must read the same rows in the same order each time, as a table does.
-    """
-    numbered = docs.select(*[F.col(f"`{c}`").alias(f"__in_{c}") for c in docs.columns], F.monotonically_increasing_id().alias("__row"))
-    found = grouped(numbered, k, num, den, "__row", f"__in_{text}")
+    """One row of each group of near copies (the first by row number), with the columns of docs, which is read once."""
+    numbered = written(docs.select(*[F.col(f"`{c}`").alias(f"__in_{c}") for c in docs.columns], F.monotonically_increasing_id().alias("__row")))
+    found = grouped(numbered, k, num, den, "__row", f"__in_{text}", "__row")
     go = written(found.where("id <> component_id").select(F.col("id").alias("__row")))
     only = docs.sparkSession.sparkContext.broadcast(key_filter(go, "__row"))
 

@@ -114,6 +114,28 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert texts.count(None) == 3 and texts.count("") == 1  # nothing links them
 
 
+def test_jaccard_rows_keep_their_numbers(spark, tmp_path, monkeypatch):
+    texts = [" ".join(f"w{i // 2}x{j}" for j in range(30)) for i in range(40)]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(10).write.parquet(str(tmp_path / "docs"))
+    write, turn = jaccard.written, [0]
+
+    def split_anew(df):
+        out = write(df)
+        turn[0] += 1
+        spark.conf.set("spark.sql.files.openCostInBytes", ["4194304", "1"][turn[0] % 2])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", ["1000", "134217728"][turn[0] % 2])
+        return out
+
+    monkeypatch.setattr(jaccard, "written", split_anew)
+    try:
+        kept = sorted(r.text for r in jaccard.deduplicated(spark.read.parquet(str(tmp_path / "docs"))).collect())
+        found = {r.id: r.component_id for r in jaccard.grouped(spark.read.parquet(str(tmp_path / "docs")), 4, 85, 100).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert kept == sorted(set(texts)) and found == {i: i - i % 2 for i in range(40)}
+
+
 def test_quality_statistics(docs):
     want = []
     for i, t in corpus():
