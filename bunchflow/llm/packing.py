@@ -6,10 +6,10 @@ A full piece is a sequence of its own. The other pieces go to partitions of
 about GROUP_ROWS pieces; each packs its pieces by best-fit decreasing and
 compares its bins with the greatest of several lower bounds from dual-feasible
 functions. Equal means that the partition is certified: no packing of its
-pieces needs fewer bins. The partitions with a gap put the pieces of their bins
-that are not full together, four partitions to one, and pack those again, until
-no gap is left or a round saves no bin. A partition never holds more than a
-bounded number of pieces, because full bins don't travel.
+pieces needs fewer bins. The partitions with a gap exchange the pieces of their
+bins that are not full: these are dealt anew, whole bins at a time, to as many
+partitions as they need, and packed again, until fewer than two partitions have
+a gap or a round saves no bin (its packing is then given up for the one before).
 
 Token ids come from tiktoken where it has the same vocabulary and gives the same
 ids several times faster; a text that holds a special token's string, and any
@@ -36,9 +36,10 @@ CAPACITY = 1024
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
-#: Pieces of a partition, on average, and rounds of exchange at most.
+#: Pieces of a partition, on average.
 GROUP_ROWS = 20_000
-ROUNDS = 4
+#: Bits of a sequence's number for its bin and its partition; the round stands above.
+BIN_BITS, GROUP_BITS = 24, 32
 
 
 @lru_cache(maxsize=2)
@@ -147,7 +148,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, n
 
 
-_PACKED = "doc_id {kind}, piece int, start long, length long, ids_crc32 long, group long, bin long, offset long, bins long, least long, filled long"
+_PACKED = "doc_id {kind}, piece int, start long, length long, ids_crc32 long, __row long, group long, bin long, offset long, bins long, least long, filled long"
 
 
 def _pack_groups(rows: DataFrame, capacity: int) -> DataFrame:
@@ -155,8 +156,7 @@ def _pack_groups(rows: DataFrame, capacity: int) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        # ties and the order in which rows arrive don't matter for the bins' loads; equal rows are alike
-        pdf = pdf.sort_values(["length", "ids_crc32", "piece", "start"], ascending=[False, True, True, True], kind="stable")
+        pdf = pdf.sort_values(["length", "__row"], ascending=[False, True], kind="stable")
         lengths = pdf["length"].to_numpy()
         bins, offsets, n = best_fit(lengths, capacity)
         load = np.bincount(bins, weights=lengths, minlength=n).astype(np.int64)
@@ -165,48 +165,54 @@ def _pack_groups(rows: DataFrame, capacity: int) -> DataFrame:
     return rows.groupBy("group").applyInPandas(pack, _PACKED.format(kind=kind))
 
 
-def packed(rows: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> tuple[DataFrame, list[dict]]:
+def packed(rows: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> tuple[DataFrame, list[dict]]:
     """rows of pieces() with sequence_id and offset, and for each round its bins, bound and open groups.
 
     Every piece is in exactly one sequence, whole; offsets are gapless from 0 and
     no sequence exceeds capacity. An empty table gives none. Equal rows are
-    placed as often as they occur.
+    placed as often as they occur: a number that is written with each row deals them.
     """
-    rows = written(rows)
+    own = rows.columns
+    rows = written(rows.withColumn("__row", F.monotonically_increasing_id()))
     short = rows.where(F.col("length") < capacity)
     full = rows.where(F.col("length") >= capacity)
     groups = max(1, math.ceil(short.count() / group_rows))
-    spread = F.xxhash64("doc_id", "piece", "ids_crc32")
-    own = [c for c in rows.columns]
-    # copies of one document differ in nothing, so their rows are dealt by a row number as well
-    dealt = short.withColumn("group", F.pmod(F.xxhash64(spread, F.monotonically_increasing_id()), F.lit(groups)))
+    dealt = short.withColumn("group", F.pmod(F.xxhash64("__row"), F.lit(groups)))
     done: list[DataFrame] = []
     report: list[dict] = []
-    for turn in range(rounds):
+    before, loose, turn = None, 0, 0
+    while True:
         now = written(_pack_groups(dealt, capacity)).withColumn("turn", F.lit(turn))
         stats = now.groupBy("group").agg(F.first("bins").alias("bins"), F.first("least").alias("least"))
         total = stats.agg(F.sum("bins").alias("bins"), F.sum("least").alias("least"), F.sum((F.col("bins") > F.col("least")).cast("int")).alias("open")).first().asDict()
         report.append(total)
-        open_bins = (F.col("bins") > F.col("least")) & (F.col("filled") < capacity)
-        last = turn == rounds - 1 or (total["open"] or 0) < 2 or groups < 2
-        if turn and not last:
-            loose = now.where(open_bins).select("group", "bin").distinct().count()
-            last = loose <= total["open"]
-        if last:
+        if before is not None and total["bins"] >= loose:
+            done.append(before)
+            break
+        is_open = (F.col("bins") > F.col("least")) & (F.col("filled") < capacity)
+        if (total["open"] or 0) < 2:
             done.append(now)
             break
-        done.append(now.where(~open_bins))
-        groups = max(1, groups // 4)
-        dealt = now.where(open_bins).select(*own, F.pmod(F.xxhash64(F.lit(turn), "group"), F.lit(groups)).alias("group"))
-    number = F.shiftleft((F.col("turn") * F.lit(1 << 20) + F.col("group")).cast("long"), 32).bitwiseOR(F.col("bin"))
+        done.append(now.where(~is_open))
+        before = now.where(is_open)
+        loose, travelling = before.agg(F.count_distinct("group", "bin"), F.count("*")).first()
+        groups = max(1, math.ceil(travelling / group_rows))
+        turn += 1
+        dealt = before.select(*own, "__row", F.pmod(F.xxhash64(F.lit(turn), "group", "bin"), F.lit(groups)).alias("group"))
+    number = sequence_number(F.col("turn"), F.col("group"), F.col("bin"))
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
     out = out.select(*own, number.alias("sequence_id"), "offset")
     # a full piece's number is negative, so it meets none of the above
-    whole = full.select(*own, (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    whole = full.select(*own, (-F.col("__row") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return out.unionByName(whole), report
 
 
+def sequence_number(turn, group, bin_):
+    """A round, a partition and a bin in a long, each in bits of its own."""
+    return F.shiftleft(turn.cast("long"), BIN_BITS + GROUP_BITS).bitwiseOR(F.shiftleft(group.cast("long"), BIN_BITS)).bitwiseOR(bin_.cast("long"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(pieces(table(spark, sf_dir, "documents")))[0]
