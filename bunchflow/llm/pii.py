@@ -1,6 +1,7 @@
 """Personal data: base patterns, and spans that a classifier of weakly supervised candidates adds.
 
-Candidates are broad matches: mail-like and number-like runs; postal addresses are not looked for.
+Candidates are broad matches: mail-like runs (parts of at most 64 characters, as mail allows) and number-like
+ones (7 to 19 digits, as phone, account and card numbers have); postal addresses are not looked for.
 Labelers vote on each (yes, no, or abstain): regular expressions, checksums,
 gazetteers and context words. The votes of all candidates of all documents are
 counted by pattern (a bounded number of patterns, counted in Spark);
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .secrets import counted, joined
-from .spans import Span, overlaps
+from .spans import Cover, Nested, Span
 from .tasks import in_arrow, table, with_arrow
 from .words import chunks
 
@@ -43,9 +44,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9]){13,}")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Least posterior of a learned span.
+#: Least posterior of a learned span. The distinct (votes, features) patterns that reach the driver are 3**8 by 2**6 at most.
 ACCEPT = 0.95
-#: Bound on the distinct (votes, features) patterns that reach the driver: 3**8 votes by 2**6 features at most.
 MAIL_WORDS = frozenset(["mail", "email", "e-mail", "contact", "correo", "courriel"])
 CALL_WORDS = frozenset(["phone", "tel", "call", "mobile", "fax", "telefon", "anruf", "teléfono", "téléphone"])
 NUMBER_WORDS = frozenset(["ssn", "iban", "passport", "account", "card", "social", "ausweis", "konto", "cuenta", "compte"])
@@ -91,7 +91,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 _NUMBER = re.compile(r"(?<![\w.+-])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,18}(?![\w])")
-_MAIL = re.compile(r"(?<!\w)[\w.+-]{2,64}\x20?(?:@|\[at\]|\(at\))\x20?[\w-]{2,64}(?:\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z]{2,10})+(?!\w)")
+_MAIL = re.compile(r"(?<!\w)[\w.+-]{1,64}\x20?(?:@|\[at\]|\(at\))\x20?[\w-]{1,64}(?:\x20?(?:\.|\[dot\]|\(dot\))\x20?[A-Za-z]{2,10})+(?!\w)")
 _DOT = re.compile(r"\.|\[dot\]|\(dot\)")
 
 
@@ -102,8 +102,8 @@ def candidates(text: str) -> list[Span]:
     return out
 
 
-def votes(text: str, kind: str, a: int, b: int, base: list[Span]) -> str:
-    """One of + - 0 from each labeler, then the span's features as digits."""
+def votes(text: str, kind: str, a: int, b: int, base: Nested) -> str:
+    """One of + - 0 from each labeler, then the span's features as digits; base: the text's base spans."""
     span = text[a:b]
     digits = "".join(c for c in span if c in "0123456789")
     before = re.findall(r"[\w-]+", text[max(0, a - 40) : a].lower())[-4:]
@@ -114,7 +114,7 @@ def votes(text: str, kind: str, a: int, b: int, base: list[Span]) -> str:
     named = any(w in CALL_WORDS or w in NUMBER_WORDS and w != "card" for w in before)
     spelt = kind == "mail" and ("at]" in span or "at)" in span)
     seen = [
-        "+" if spelt or any(x <= a and b <= y or a <= x and y <= b for _, x, y in base) else "0",  # a strict pattern
+        "+" if spelt or base.agrees(a, b) else "0",  # a strict pattern
         "+" if len(digits) >= 13 and luhn(digits) else "-" if len(digits) >= 13 and kind == "number" and not named else "0",  # checksum
         "+" if grouped else "-" if kind == "number" and not separators and len(digits) < 13 and not named else "0",  # shape
         "+" if kind == "mail" and _DOT.split(span)[-1].strip().lower() in DOMAINS else "0",  # gazetteer
@@ -203,7 +203,7 @@ def _patterns(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = batch.column(0)
         for i in rows_to_search(texts):
             text = texts[i].as_py() or ""
-            base = base_spans(text)
+            base = Nested(base_spans(text))
             counts.update(votes(text, k, a, b, base) for k, a, b in candidates(text))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["pattern", "times"])
 
@@ -217,7 +217,8 @@ def trained(docs: DataFrame, text: str = "text") -> Classifier:
 
 def find(text: str, classifier: Classifier) -> list[Span]:
     base = base_spans(text)
-    return base + [("learned", a, b) for k, a, b in candidates(text) if not overlaps(a, b, base) and classifier.accepts(votes(text, k, a, b, base))]
+    cover, nested = Cover(base), Nested(base)
+    return base + [("learned", a, b) for k, a, b in candidates(text) if not cover.touches(a, b) and classifier.accepts(votes(text, k, a, b, nested))]
 
 
 def scanned(docs: DataFrame, text: str = "text", classifier: Classifier | None = None, keep: list[str] | None = None) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .spans import Span, digest, listed, overlaps, replaced
+from .spans import Cover, Span, replaced
 from .tasks import table, with_arrow
 from .words import LOWER, chunks
 
@@ -229,31 +229,31 @@ class Formats:
 
     def spans(self, run: str) -> list[tuple[int, int]]:
         """Disjoint parts of a run that formats explain: those of formats with a prefix, then the likeliest others."""
-        symbols, taken = classes(run), []
+        symbols, taken = classes(run), Cover()
         for prefix, a, mean in self.automata:
             at = run.find(prefix) if prefix else -1
             while at >= 0:
-                got = None if overlaps(at, at + 1, taken) else self._ends(a, mean, run, symbols, at)
-                if got:
-                    taken.append(("", at, got[1]))
+                got = None if taken.touches(at, at + 1) else self._ends(a, mean, run, symbols, at)
+                if got and not taken.touches(at, got[1]):
+                    taken.add(at, got[1])
                 at = run.find(prefix, got[1] if got else at + 1)
         starts = [0, *(i + 1 for i, c in enumerate(run) if c in DELIMITERS)]
         held: tuple[float, int, int] | None = None
         for at in starts:
-            if held and held[1] + NEAR <= at < held[2] or overlaps(at, at + 1, taken):
+            if held and held[1] + NEAR <= at < held[2] or taken.touches(at, at + 1):
                 continue
             for prefix, a, mean in self.automata:
                 got = None if prefix else self._ends(a, mean, run, symbols, at)
-                if not got or overlaps(at, got[1], taken):
+                if not got or taken.touches(at, got[1]):
                     continue
                 if held and at >= held[2]:
-                    taken.append(("", *held[1:]))
+                    taken.add(*held[1:])
                     held = None
                 if not held or got[0] > held[0]:
                     held = got[0], at, got[1]
         if held:
-            taken.append(("", *held[1:]))
-        return sorted((x, y) for _, x, y in taken)
+            taken.add(*held[1:])
+        return list(zip(taken.starts, taken.ends))
 
     def accepts(self, token: str) -> bool:
         """Whether some format explains the whole token better than the background."""
@@ -275,8 +275,9 @@ def base_spans(text: str) -> list[Span]:
 def find(text: str, formats: Formats) -> list[Span]:
     """Base spans, then learned ones that touch none of them; code points, end exclusive."""
     base = base_spans(text)
+    cover = Cover(base)
     learned = [("learned", m.start() + a, m.start() + b) for m in CANDIDATE.finditer(text) for a, b in formats.spans(m.group())]
-    return base + [x for x in learned if not overlaps(*x[1:], base)]
+    return base + [x for x in learned if not cover.touches(*x[1:])]
 
 
 _RUN = np.zeros(256, bool)
@@ -327,19 +328,22 @@ def scanned(docs: DataFrame, text: str = "text", formats: Formats | None = None,
     return with_arrow(docs, text, [T.StructField("secrets", T.ArrayType(kind))], work, keep)
 
 
-def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The columns of docs, with every secret of text replaced by its kind and n_chars counted anew."""
+def redacted(docs: DataFrame, text: str = "text", formats: Formats | None = None) -> DataFrame:
+    """The columns of docs, with every secret of text replaced by its kind and n_chars counted anew.
+
+    Nulls stay null; the texts pass Python once.
+    """
     columns = docs.columns
-    found = scanned(docs, text)
+    shared = docs.sparkSession.sparkContext.broadcast(formats or default_formats())
 
-    def cut(t, s):
-        return t.combine(s, lambda x, y: x if x is None or not len(y) else replaced(x, [(z["kind"], z["start"], z["end"]) for z in y]))
+    def work(texts: pa.Array) -> dict[str, pa.Array]:
+        out = {i: replaced(x, found) for i in rows_to_search(texts) if (found := find(x := texts[i].as_py() or "", shared.value))}
+        return {text: pa.array([out.get(i, x) for i, x in enumerate(texts.to_pylist())], pa.string()) if out else texts}
 
-    new = F.when(F.size("secrets") > 0, F.pandas_udf(cut, "string")(text, "secrets")).otherwise(F.col(text))
-    found = found.withColumn(text, new)
+    found = with_arrow(docs, text, [T.StructField(text, T.StringType())], work)
     if "n_chars" in columns:
-        found = found.withColumn("n_chars", F.length(text).cast("long"))
-    return found.select(*columns)
+        found = found.withColumn("n_chars", F.coalesce(F.length(f"`{text}`").cast("long"), "n_chars"))
+    return found.select(*[f"`{c}`" for c in columns])
 
 
 def joined(spans: str, kinds: tuple[str, ...] | None = None):

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Sequence
 
 Span = tuple[str, int, int]
 
@@ -14,12 +14,51 @@ def listed(spans: Sequence[Span], kinds: Sequence[str]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(set(spans), key=lambda x: (x[1], place[x[0]], x[2])))
 
 
-def digest(spans: Sequence[Span], kinds: Sequence[str]) -> str:
-    return hashlib.sha256(listed(spans, kinds).encode()).hexdigest()
+class Cover:
+    """The union of spans; a question costs the logarithm of their number."""
 
+    def __init__(self, spans: Iterable[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, a, b in sorted(spans, key=lambda x: x[1:]):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            elif a < b:
+                self.starts.append(a)
+                self.ends.append(b)
 
-def overlaps(a: int, b: int, spans: Sequence[Span]) -> bool:
-    return any(a < y and x < b for _, x, y in spans)
+    def touches(self, a: int, b: int) -> bool:
+        """Whether [a, b) and some span share a place."""
+        i = bisect_right(self.ends, a)
+        return i < len(self.starts) and self.starts[i] < b
+
+    def add(self, a: int, b: int) -> None:
+        """Adds a span that touches none."""
+        i = bisect_left(self.starts, a)
+        self.starts.insert(i, a)
+        self.ends.insert(i, b)
+
+
+class Nested:
+    """Which spans lie in one another; those of a kind are disjoint."""
+
+    def __init__(self, spans: Iterable[Span]):
+        self.kinds: dict[str, tuple[list[int], list[int]]] = {}
+        for kind, a, b in sorted(spans, key=lambda x: x[1:]):
+            starts, ends = self.kinds.setdefault(kind, ([], []))
+            starts.append(a)
+            ends.append(b)
+
+    def agrees(self, a: int, b: int) -> bool:
+        """Whether some span holds [a, b) or lies in it."""
+        for starts, ends in self.kinds.values():
+            i = bisect_right(starts, a)
+            if i and b <= ends[i - 1]:
+                return True
+            i = bisect_left(starts, a)
+            if i < len(starts) and ends[i] <= b:
+                return True
+        return False
 
 
 def replaced(text: str, spans: Sequence[Span], mark: str = "[{}]") -> str:
