@@ -9,8 +9,9 @@ SAMPLE words. All windows are searched backward together; occurrences are
 walked to a sampled suffix, mapped to document words and merged into spans.
 
 Memory: one shard's index, and one block of windows (BLOCK_WORDS words of
-benchmark text at most, broadcast); a larger benchmark takes several blocks,
-each searched in every document, with the spans merged.
+benchmark text and one item more at most, broadcast). A larger benchmark takes
+several blocks, one after another: each passes all documents, whose hits so far
+are written with them, and its broadcast is gone before the next one is made.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tasks import table, with_arrow
+from .tasks import dropped, in_arrow, table, written
 from .words import ALNUM, batches
 
 WINDOW = 10
@@ -209,9 +210,10 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 SPANS = T.ArrayType(T.ArrayType(T.LongType()))
+RESULT = [T.StructField("n_words", T.LongType()), T.StructField("word_spans", SPANS), T.StructField("byte_spans", SPANS), T.StructField("item_ids", T.ArrayType(T.StringType()))]
 
 
-def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", keep: list[str] | None = None, cut: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with n_words long, word_spans and byte_spans (merged [start, end) pairs) and item_ids (sorted strings).
 
     A null or wordless text has 0 words and empty lists; so has every text when
@@ -219,36 +221,57 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     not none, is one window; null and wordless ones have no window. A null
     item_id counts as "null"; equal ids count once. Repeated rows, and equal
     windows of several items, keep their own results. Input columns named as a
-    result column are replaced.
+    result column are replaced. cut: the spans are taken out of text on the way.
     """
     spark = docs.sparkSession
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_words", "word_spans", "byte_spans", "item_ids")]
-    fields = [T.StructField("n_words", T.LongType()), T.StructField("word_spans", SPANS), T.StructField("byte_spans", SPANS), T.StructField("item_ids", T.ArrayType(T.StringType()))]
-    parts = list(_broadcast(spark, blocks(benchmark, window))) or [spark.sparkContext.broadcast(window_block([], window))]
-
-    def work(texts: pa.Array) -> dict[str, pa.Array]:
-        n = len(texts)
-        spans, places, items = [[] for _ in range(n)], [[] for _ in range(n)], [set() for _ in range(n)]
-        for part in parts:
-            counts, found, owners, where = shard_hits(texts, part.value)
-            for row in found:
-                spans[row] += found[row]
-                places[row] += where[row]
-                items[row] |= owners[row]
-        pairs = pa.list_(pa.list_(pa.int64()))
-        return {
-            "n_words": pa.array(counts),
-            "word_spans": pa.array([merged(x) if x else x for x in spans], pairs),
-            "byte_spans": pa.array([merged(x) if x else x for x in places], pairs),
-            "item_ids": pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-        }
-
-    return with_arrow(docs, text, fields, work, keep)
-
-
-def _broadcast(spark: SparkSession, parts: Iterator[dict]) -> Iterator:
-    for x in parts:
-        yield spark.sparkContext.broadcast(x)
+    names = [f.name for f in RESULT]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names and not (cut and c == text)]
+    data = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text__"))
+    parts = blocks(benchmark, window, block_words)
+    block = next(parts, None) or window_block([], window)
+    while True:
+        following = next(parts, None)
+        shared = spark.sparkContext.broadcast(block)
+        found = _searched(data, shared, keep, (text if cut else None) if following is None else "__text__", following is None and cut)
+        if following is None:
+            return found
+        before, data, block = data, written(found), following
+        shared.unpersist()
+        if hasattr(before, "_bunchflow_path"):
+            dropped(before)
+
+
+def _searched(data: DataFrame, shared, keep: list[str], name: str | None, cut: bool) -> DataFrame:
+    """data with the hits of one more block; name: that of the text in the result, if it stays."""
+    n_keep, before = len(keep), "item_ids" in data.columns
+    fields = [*(data.schema[c] for c in keep), *([T.StructField(name, T.StringType())] if name else []), *RESULT]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            if not (n := batch.num_rows):
+                continue
+            texts = batch.column(n_keep)
+            counts, spans, items, places = shard_hits(texts, shared.value)
+            if before:
+                spans, places = (_both(batch.column(n_keep + i), x) for i, x in ((2, spans), (3, places)))
+                earlier = batch.column(n_keep + 4)
+                items = {r: {*items.get(r, ()), *more} for r in range(n) if (more := earlier[r].as_py()) or r in items}
+            if cut and places:
+                texts = pa.array([without_spans(x.as_py().encode(), places[r]).decode() if r in places else x.as_py() for r, x in enumerate(texts)], pa.string())
+            pairs = pa.list_(pa.list_(pa.int64()))
+            new = [pa.array(counts), *(pa.array([x.get(r, []) for r in range(n)], pairs) for x in (spans, places)), pa.array([sorted(items.get(r, ())) for r in range(n)], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n_keep)), *([texts] if name else []), *new], names=[f.name for f in fields])
+
+    return in_arrow(data, run, T.StructType(fields))
+
+
+def _both(earlier: pa.Array, found: dict[int, list]) -> dict[int, list]:
+    """Spans of earlier blocks and of this one, merged, by row."""
+    out = {}
+    for r, x in enumerate(earlier):
+        if (held := x.as_py()) or r in found:
+            out[r] = merged([*map(tuple, held), *found.get(r, ())])
+    return out
 
 
 def without_spans(text: bytes, spans: list) -> bytes:
@@ -260,15 +283,14 @@ def without_spans(text: bytes, spans: list) -> bytes:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The columns of docs, with the benchmark passages cut out of text and n_chars counted anew."""
+    """The columns of docs, with the benchmark passages cut out of text and n_chars counted anew; a null text stays null."""
     columns = docs.columns
-    found = contaminated_spans(docs, benchmark, window)
-    cut = F.pandas_udf(lambda t, s: t.combine(s, lambda x, y: x if x is None or not len(y) else without_spans(x.encode(), y).decode()), "string")
-    text = F.when(F.size("byte_spans") > 0, cut("text", "byte_spans")).otherwise(F.col("text"))
-    found = found.withColumn("text", text)
+    inner = docs.select(*[F.col(f"`{c}`").alias("text" if c == "text" else f"__in_{c}") for c in columns])
+    found = contaminated_spans(inner, benchmark, window, cut=True)
+    chosen = {c: F.col("text" if c == "text" else f"`__in_{c}`") for c in columns}
     if "n_chars" in columns:
-        found = found.withColumn("n_chars", F.length("text").cast("long"))
-    return found.select(*columns)
+        chosen["n_chars"] = F.coalesce(F.length("text").cast("long"), "__in_n_chars")
+    return found.select(*[x.alias(c) for c, x in chosen.items()])
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

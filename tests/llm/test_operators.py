@@ -185,6 +185,32 @@ def test_packing(spark, docs):
     assert packing.packed(packing.pieces(empty(spark)))[0].count() == 0
 
 
+def test_packing_exchanges_documents(spark):
+    """Partitions with a gap exchange pieces: fewer bins than the partitions alone, and no bin twice."""
+    rng = random.Random(9)
+    rows = [(i, 0, 0, rng.choice([34, 33, 31, 27, 21, 18, 13]), i) for i in range(400)] + [(400, k, 0, 64, k) for k in range(5)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    out, report = packing.packed(pieces, 64, group_rows=20)
+    bins = {}
+    for r in out.collect():
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for x in bins.values():
+        x.sort()
+        assert x[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(x, x[1:])) and sum(x[-1]) <= 64
+    assert sum(map(len, bins.values())) == len(rows)
+    assert len(report) > 1 and len(bins) - 5 < report[0]["bins"]
+    assert len(bins) - 5 >= packing.lower_bound(np.array([r[3] for r in rows[:400]]), 64)
+
+
+def test_sequence_numbers_are_disjoint(spark):
+    from pyspark.sql import functions as F
+
+    ends = [(t, g, b) for t in (0, 1, 40) for g in (0, 1 << 20, (1 << 32) - 1) for b in (0, 1, (1 << 24) - 1)]
+    df = spark.createDataFrame(ends, "t int, g long, b long")
+    got = [r[0] for r in df.select(packing.sequence_number(F.col("t"), F.col("g"), F.col("b"))).collect()]
+    assert len(set(got)) == len(ends) and min(got) >= 0
+
+
 def test_bounds_hold():
     import numpy as np
 
@@ -329,6 +355,48 @@ def test_substring_groups(spark, docs):
     assert plain(substring.removed(docs, 10, group_words=40).collect()) == want
 
 
+def test_spans_are_covered():
+    rng = random.Random(8)
+    for _ in range(300):
+        base = []
+        for kind in "ab":
+            at = 0
+            while at < 40:
+                at += rng.randint(0, 9)
+                n = rng.randint(1, 7)
+                base.append((kind, at, at + n))
+                at += n
+        rng.shuffle(base)
+        cover, nested = spans.Cover(base), spans.Nested(base)
+        for _ in range(20):
+            a = rng.randint(0, 50)
+            b = a + rng.randint(1, 9)
+            assert cover.touches(a, b) == any(a < y and x < b for _, x, y in base)
+            assert nested.agrees(a, b) == any(x <= a and b <= y or a <= x and y <= b for _, x, y in base)
+    cover = spans.Cover()
+    for a, b in ((5, 7), (1, 3), (9, 12), (3, 5)):
+        assert not cover.touches(a, b)
+        cover.add(a, b)
+    assert cover.touches(2, 4) and cover.touches(11, 30) and not cover.touches(7, 9) and not cover.touches(12, 14)
+
+
+def test_long_texts_take_linear_time():
+    """Ten times the text takes about ten times as long; a square would take a hundred."""
+    import time
+
+    formats, classifier = secrets.default_formats(), pii.Classifier({}, {})
+    unit = "mail a.b@c.example call +1 (499) 555-7713 or 4155550003 password=abcdefgh12 key ghp_a1B2c3D4e5a1B2c3D4e5a1B2c3D4e5F6g7H8 <b><i>x</b></i> "
+    run = "/".join(["AIza" + "SyD4f-kQ9xL2mN7pR3tV8wZ1bC5gH6jK0_Y"] * 20)
+    for work in (lambda n: pii.find(unit * n, classifier), lambda n: secrets.find(unit * n, formats), lambda n: secrets.find(run + f"/{run}" * (n // 5), formats), lambda n: html.Page(unit * n).text(), lambda n: html.Page("<b><div>" * n).text()):
+        work(20)
+        took = []
+        for n in (300, 3000):
+            began = time.perf_counter()
+            work(n)
+            took.append(time.perf_counter() - began)
+        assert took[1] < 30 * took[0] + 0.2
+
+
 PERSONAL = [
     "mail a.b%c@x-y.example.com, c@d.e@f.g", "1.2.3.4.5.6.7.8 999.1.1.1 0255.1.1.1", "card 4111 1111 1111 1111 or 4111-1111-1111-1112", "+1 (017) 555-7713 and +49 30 1 +12 ", "@@ a@b a@b.c@", "1" * 40,
     "+" * 2000 + "1" * 30, "call (499) 555-6503 now", None, "", "é 5500 0000 0000 0004",
@@ -367,8 +435,8 @@ def test_no_labeler_vetoes(spark):
     found = {r.text: [x.kind for x in r.personal_data] for r in pii.scanned(df).collect()}
     assert found["contact jane3 [at] firm3 [dot] com"] == found["contact jane3 [at] firm3 [dot] it"] == found["phone 4155550003 now"] == ["learned"]
     assert found["it is 3333333 km"] == [] and found["the 00000012 pages of it"] == []
-    pattern = pii.votes("contact jane [at] firm [dot] com", "mail", 8, 32, [])
-    assert pattern[3] == "+" and pii.votes("contact jane [at] firm [dot] it", "mail", 8, 31, [])[3] == "0"
+    pattern = pii.votes("contact jane [at] firm [dot] com", "mail", 8, 32, spans.Nested([]))
+    assert pattern[3] == "+" and pii.votes("contact jane [at] firm [dot] it", "mail", 8, 31, spans.Nested([]))[3] == "0"
     classifier = pii.Classifier({}, {})
     classifier.w[-1] = 9.0  # sure of every span
     assert classifier.accepts("00-0+000000001")
@@ -399,6 +467,12 @@ def test_decontamination(spark, docs):
     assert plain(got) == plain(want)
     cut = {r.doc_id: r.text for r in decontamination.decontaminated(docs, bench).where("doc_id < 90").collect()}
     assert cut[14] == "one" and cut[15] == "" and cut[12] is None
+    # several blocks of windows, one after another
+    parted = decontamination.contaminated_spans(docs, bench, block_words=20)
+    assert plain([(r.doc_id, r.n_words, sum(b - a for a, b in r.word_spans), tuple(r.item_ids)) for r in parted.collect()]) == plain(want)
+    assert len(list(decontamination.blocks(bench, 10, 20))) > 2
+    whole, parted = (decontamination.contaminated_spans(docs, bench, keep=["doc_id"], cut=True, block_words=n).select("doc_id", "text", "byte_spans").collect() for n in (20, 10**6))
+    assert plain(whole) == plain(parted)
     assert decontamination.contaminated_spans(docs, bench.limit(0)).where("size(item_ids) > 0").count() == 0
 
 
