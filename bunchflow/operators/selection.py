@@ -3,7 +3,7 @@
 Events are rows with an array of candidate structs, so everything here is free
 of shuffles: the preselection is an array predicate that drops most events
 before any combination is made, pions are generated from the array in order,
-and the best triplet is taken per event inside the row's own array.
+and the best triplet is the least of an array of triplets that the row itself makes.
 """
 
 from __future__ import annotations
@@ -71,39 +71,59 @@ def pions(events: DataFrame, cuts: Cuts) -> DataFrame:
     return events.withColumn("pions", F.sort_array(F.filter(row, lambda c: c["iso"] <= F.lit(cuts.max_iso))))
 
 
+def best_triplet(cuts: Cuts) -> Column:
+    """The best triplet of the column pions, or null.
+
+    Pions are strictly ordered by (pt descending, index), so each triplet is
+    made once; the best has the greatest pt sum, ties going to the first in that order.
+    """
+
+    def after(place: Column) -> Column:
+        return F.slice("pions", place + 2, F.greatest(F.size("pions") - place - 1, F.lit(0)))
+
+    def third(a: Column, b: Column, c: Column) -> Column:
+        total = charge(a["pid"]) + charge(b["pid"]) + charge(c["pid"])
+        return (F.abs(total) == 1) & _apart(a, c, cuts) & _apart(b, c, cuts)
+
+    def made(a: Column, b: Column, c: Column) -> Column:
+        order = [F.struct(x["order"].alias("order"), x["i"].alias("i")).alias(n) for x, n in ((a, "x"), (b, "y"), (c, "z"))]
+        return F.struct((-(a["pt"] + b["pt"] + c["pt"])).alias("s"), *order, mass(*[(x["pt"], x["eta"], x["phi"]) for x in (a, b, c)]).alias("mass"))
+
+    def with_two(a: Column, b: Column, q: Column) -> Column:
+        fit = (b["pt"] >= F.lit(float(cuts.pt2))) & _apart(a, b, cuts)
+        return F.when(fit, F.transform(F.filter(after(q), lambda c: third(a, b, c)), lambda c: made(a, b, c))).otherwise(F.array())
+
+    def with_one(a: Column, p: Column) -> Column:
+        return F.when(a["pt"] >= F.lit(float(cuts.pt3)), F.flatten(F.transform(after(p), lambda b, j: with_two(a, b, p + 1 + j)))).otherwise(F.array())
+
+    found = F.flatten(F.transform("pions", lambda a, p: with_one(a, p)))
+    return F.array_min(F.filter(found, lambda t: t["mass"].between(float(cuts.min_mass), float(cuts.max_mass))))
+
+
+def _with_triplet(events: DataFrame, cuts: Cuts) -> DataFrame:
+    """events with their best triplet t, or null; pions are made of preselected events only."""
+    return pions(events, cuts).withColumn("t", F.when(F.size("pions") >= 3, best_triplet(cuts)))
+
+
 def triplets(events: DataFrame, cuts: Cuts) -> DataFrame:
     """The best triplet of each event that has one: event key columns, i1, i2, i3, pt_sum, mass.
 
-    events: key columns and cands, an array of structs. Pions are strictly
-    ordered by (pt descending, index), so each triplet is made once; the best
-    has the greatest pt sum, ties going to the first in that order.
+    events: key columns and cands, an array of structs.
     """
     keys = [c for c in events.columns if c != "cands"]
-    ready = pions(events.where(preselected(F.col("cands"), cuts)), cuts).select(*keys, "pions").where(F.size("pions") >= 3)
-    one = ready.select(*keys, "pions", F.posexplode("pions").alias("p1", "a")).where(F.col("a.pt") >= float(cuts.pt3))
-    rest = F.expr("slice(pions, p1 + 2, size(pions))")
-    two = one.select(*keys, "a", rest.alias("pions")).select(*keys, "a", "pions", F.posexplode("pions").alias("p2", "b")).where(F.col("b.pt") >= float(cuts.pt2))
-    two = two.where(_apart("a", "b", cuts))
-    three = two.select(*keys, "a", "b", F.explode(F.expr("slice(pions, p2 + 2, size(pions))")).alias("c")).where(_apart("a", "c", cuts) & _apart("b", "c", cuts))
-    total = charge(F.col("a.pid")) + charge(F.col("b.pid")) + charge(F.col("c.pid"))
-    m = mass(*[(F.col(f"{x}.pt"), F.col(f"{x}.eta"), F.col(f"{x}.phi")) for x in "abc"])
-    three = three.where(F.abs(total) == 1).withColumn("mass", m).where(F.col("mass").between(float(cuts.min_mass), float(cuts.max_mass)))
-    # the least of (-pt sum, place of each pion) is the best; the group is the event, whose rows stand together
-    order = F.struct((-(F.col("a.pt") + F.col("b.pt") + F.col("c.pt"))).alias("s"), F.struct("a.order", "a.i").alias("x"), F.struct("b.order", "b.i").alias("y"), F.struct("c.order", "c.i").alias("z"), F.col("mass"))
-    best = three.groupBy(*keys).agg(F.min(order).alias("t"))
+    best = _with_triplet(events.where(preselected(F.col("cands"), cuts)), cuts).where("t IS NOT NULL")
     return best.select(*keys, F.col("t.x.i").alias("i1"), F.col("t.y.i").alias("i2"), F.col("t.z.i").alias("i3"), (-F.col("t.s")).alias("pt_sum"), F.col("t.mass").alias("mass"))
 
 
-def _apart(a: str, b: str, cuts: Cuts) -> Column:
-    return delta_r2(F.col(f"{a}.eta"), F.col(f"{a}.phi"), F.col(f"{b}.eta"), F.col(f"{b}.phi")) >= F.lit(cuts.min_dr2)
+def _apart(a: Column, b: Column, cuts: Cuts) -> Column:
+    return delta_r2(a["eta"], a["phi"], b["eta"], b["phi"]) >= F.lit(cuts.min_dr2)
 
 
 def cut_flow(events: DataFrame, cuts: Cuts) -> DataFrame:
-    """One row: events, those preselected and those with a triplet, and the two fractions."""
-    keys = [c for c in events.columns if c != "cands"]
-    passed = triplets(events, cuts).select(*keys, F.lit(1).alias("hit"))
-    flags = events.select(*keys, preselected(F.col("cands"), cuts).cast("long").alias("pre")).join(passed, keys, "left")
-    total = flags.agg(F.count("*").alias("n_all"), F.sum("pre").alias("n_pre"), F.count("hit").alias("n_pass"))
+    """One row: events, those preselected and those with a triplet, and the two fractions, in one pass."""
+    passing = F.when(F.col("pre"), F.col("cands")).otherwise(F.slice("cands", 1, 0))
+    flags = _with_triplet(events.withColumn("pre", preselected(F.col("cands"), cuts)).select("pre", passing.alias("cands")), cuts)
+    total = flags.agg(F.count("*").alias("n_all"), F.coalesce(F.sum(F.col("pre").cast("long")), F.lit(0)).alias("n_pre"), F.count("t").alias("n_pass"))
     return total.select("n_all", "n_pre", "n_pass", F.round(F.col("n_pre") / F.col("n_all"), 9).alias("f_pre"), F.round(F.col("n_pass") / F.col("n_all"), 9).alias("f_pass"))
 
 

@@ -5,7 +5,8 @@ Order always comes from a position column, never from how rows are partitioned.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,10 +25,65 @@ def first_orbits(events: DataFrame, n: int) -> DataFrame:
     return events.join(least, "orbit", "left_semi")
 
 
+#: Bits of an order column below its bucket: a bucket is what one task orders.
+BUCKET_BITS = 16
+
+
+def _bucketed(rows: DataFrame, stream: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """rows with __bucket, so that streams are ordered bucket by bucket, by many tasks.
+
+    The first order column makes the buckets if it is a whole number; else a stream is one bucket.
+    """
+    whole = rows.schema[order[0]].dataType.typeName() in ("byte", "short", "integer", "long")
+    bucket = F.shiftright(F.col(order[0]).cast("long"), BUCKET_BITS) if whole else F.lit(0).cast("long")
+    return rows.withColumn("__bucket", bucket), [*stream, "__bucket"]
+
+
+def _joined(rows: DataFrame, per: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """rows with per's columns; keys may be null."""
+    same = functools.reduce(lambda x, k: x & F.col(f"r.{k}").eqNullSafe(F.col(f"p.{k}")), keys, F.lit(True))
+    return rows.alias("r").join(per.alias("p"), same).select("r.*", *[f"p.{c}" for c in per.columns if c not in keys])
+
+
+def numbered(rows: DataFrame, order: str | Sequence[str], sums: dict[str, str] | None = None, stream: Sequence[str] = (), number: str = "number", where: Callable[[Column], Column] | None = None) -> DataFrame:
+    """rows with their number from 0 in each stream, and sums of columns over all rows before, as {column: new column}.
+
+    Rows are counted and added up in buckets of the order column; only one row a
+    bucket is put in order for a whole stream. where: a condition on the number
+    of the rows that the sums take.
+    """
+    order, sums = [order] if isinstance(order, str) else list(order), sums or {}
+    rows, keys = _bucketed(rows, stream, order)
+    inside, across = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*stream).orderBy("__bucket")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    per = rows.groupBy(*keys).agg(F.count("*").alias("__rows"))
+    per = per.withColumn("__first", F.coalesce(F.sum("__rows").over(earlier), F.lit(0))).drop("__rows")
+    rows = _joined(rows, per, keys).withColumn(number, F.row_number().over(inside) - 1 + F.col("__first")).drop("__first")
+    if sums:
+        taken = {c: F.when(where(F.col(number)), F.col(c)).otherwise(0) if where else F.col(c) for c in sums}
+        per = rows.groupBy(*keys).agg(*[F.sum(x).alias(f"__{c}") for c, x in taken.items()])
+        per = per.select(*keys, *[F.coalesce(F.sum(f"__{c}").over(earlier), F.lit(0)).alias(f"__before_{c}") for c in sums])
+        rows = _joined(rows, per, keys)
+        rows = rows.withColumns({new: F.coalesce(F.sum(taken[c]).over(before), F.lit(0)) + F.col(f"__before_{c}") for c, new in sums.items()})
+        rows = rows.drop(*[f"__before_{c}" for c in sums])
+    return rows.drop("__bucket")
+
+
 def within_bytes(events: DataFrame, size: Column, most: int, stream: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Leading events of each stream whose running size stays below `most`."""
-    w = Window.partitionBy(*stream).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return events.withColumn("__total", F.sum(size).over(w)).where(F.col("__total") <= most).drop("__total")
+    sized = numbered(events.withColumn("__size", size), order, {"__size": "__total"}, stream, "__number")
+    return sized.where(F.col("__total") + F.col("__size") <= most).drop("__size", "__total", "__number")
+
+
+def preceded(rows: DataFrame, columns: Sequence[str], stream: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """rows with __before, a struct of the columns of the row before in the stream, null at its start."""
+    rows, keys = _bucketed(rows, stream, order)
+    inside, across = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*stream).orderBy("__bucket")
+    held = F.struct(*columns)
+    per = rows.groupBy(*keys).agg(F.max_by(held, F.struct(*order)).alias("__last"))
+    per = per.withColumn("__earlier", F.lag("__last").over(across)).drop("__last")
+    return _joined(rows, per, keys).withColumn("__before", F.coalesce(F.lag(held).over(inside), "__earlier")).drop("__earlier", "__bucket")
 
 
 def continuity(events: DataFrame, stream: Sequence[str], order: Sequence[str], orbit_step: int = 1, bx_step: int = 6, first_bx: int = 0) -> DataFrame:
@@ -36,13 +92,12 @@ def continuity(events: DataFrame, stream: Sequence[str], order: Sequence[str], o
     The orbit either stays or grows by orbit_step; the bunch crossing grows by
     bx_step within an orbit and starts at first_bx in a new one.
     """
-    w = Window.partitionBy(*stream).orderBy(*order)
-    before_orbit, before_bx = F.lag("orbit").over(w), F.lag("bx").over(w)
+    before_orbit, before_bx = F.col("__before.orbit"), F.col("__before.bx")
     same = F.col("orbit") == before_orbit
-    return events.withColumns({
+    return preceded(events, ["orbit", "bx"], stream, order).withColumns({
         "bad_orbit": before_orbit.isNotNull() & ~same & (F.col("orbit") != before_orbit + orbit_step),
         "bad_bx": before_orbit.isNotNull() & F.when(same, F.col("bx") != before_bx + bx_step).otherwise(F.col("bx") != first_bx),
-    })
+    }).drop("__before")
 
 
 def truncation(events: DataFrame, complete_only: bool = False, stream: Sequence[str] = ("run",)) -> DataFrame:
@@ -74,8 +129,7 @@ def round_robin(events: DataFrame, files: str = "file", order: Sequence[str] = (
     has it, files before f give up to m + 2 events, f gives m, files after it up
     to m + 1.
     """
-    w = Window.partitionBy(files).orderBy(*order)
-    turned = events.withColumn("round", F.row_number().over(w).cast("long"))
+    turned = numbered(events, order, stream=[files], number="__number").withColumn("round", F.col("__number") + 1).drop("__number")
     if not stop_first:
         return turned
     sizes = events.groupBy(files).agg(F.count("*").alias("__n"))
@@ -151,3 +205,15 @@ def resampled(slots: DataFrame, templates: DataFrame, n_templates: int, seed: in
 def striped(events: DataFrame, tmux: int) -> DataFrame:
     """events with timeslice: bunch crossing modulo the number of time-multiplexed streams."""
     return events.withColumn("timeslice", F.pmod("bx", F.lit(tmux)))
+
+
+def agreeing(headers: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, values): how many different values files' headers have; more than one is a disagreement. One pass."""
+    counts = headers.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("values")) for c in columns]))
+    return counts.select(pairs.alias("x")).select("x.column", "x.values")
+
+
+def rates(report: DataFrame, events: Column, nbytes: Column, seconds: Column) -> DataFrame:
+    """report with khz, gb_per_s and slower, the factor by which the rate stays below 40 MHz."""
+    return report.withColumns({"khz": events / seconds / 1e3, "gb_per_s": nbytes / seconds / 2.0**30, "slower": F.lit(40e6) / (events / seconds)})

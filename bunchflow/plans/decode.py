@@ -81,7 +81,7 @@ def candidate_charge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words(spark, sf_dir).select("event", "i", C.charge(C.pid(F.col("w"))).cast("long").alias("charge"))
 
 
-_MUON = f"""WITH {CAND}, block AS (
+MUON = f"""WITH {CAND}, block AS (
   SELECT a.event, a.i // 3 AS block, a.w AS w0, b.w AS w1, c.w AS w2 FROM words a
   LEFT JOIN words b ON b.event = a.event AND b.i = a.i + 1 LEFT JOIN words c ON c.event = a.event AND c.i = a.i + 2 WHERE a.i % 3 = 0
 ), mu AS (
@@ -93,14 +93,14 @@ _MUON_INTS = """(lo >> 1) & 65535 AS pt, ((lo >> 17) & 8191) - 8192 * ((lo >> 29
   CASE WHEN hi & 1 = 1 THEN -1 ELSE 1 END AS charge"""
 
 
-@query(f"{_MUON} SELECT event, k, {_MUON_INTS}, (hi >> 1) & 15 AS quality, (hi >> 9) & 15 AS isolation, (hi >> 13) & 15 AS beta FROM mu".replace("THEN -1 ELSE 1 END AS charge", "THEN -1 ELSE 1 END::BIGINT AS charge"))
+@query(f"{MUON} SELECT event, k, {_MUON_INTS}, (hi >> 1) & 15 AS quality, (hi >> 9) & 15 AS isolation, (hi >> 13) & 15 AS beta FROM mu".replace("THEN -1 ELSE 1 END AS charge", "THEN -1 ELSE 1 END::BIGINT AS charge"))
 def tkmu_decode_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = word_arrays(spark, sf_dir).select("event", F.posexplode(C.muon_structs(F.col("words"), C.muon_ints)).alias("k", "m"))
     return rows.select("event", F.col("k").cast("long").alias("k"), *[F.col(f"m.{x}").cast("long").alias(x) for x in ("pt", "phi", "eta", "z0", "d0", "charge", "quality", "isolation", "beta")])
 
 
 @query(
-    f"""{_MUON}, m AS (SELECT event, k, {_MUON_INTS}, (hi >> 1) & 255 AS quality, (hi >> 9) & 15 AS isolation, (hi >> 13) & 15 AS beta FROM mu)
+    f"""{MUON}, m AS (SELECT event, k, {_MUON_INTS}, (hi >> 1) & 255 AS quality, (hi >> 9) & 15 AS isolation, (hi >> 13) & 15 AS beta FROM mu)
 SELECT event, k, CAST(CAST(pt AS FLOAT) * CAST(0.03125 AS FLOAT) AS DOUBLE) AS pt, CAST(CAST(phi AS FLOAT) * CAST(0.0007669903939428206 AS FLOAT) AS DOUBLE) AS phi,
   CAST(CAST(eta AS FLOAT) * CAST(0.0007669903939428206 AS FLOAT) AS DOUBLE) AS eta, CAST(CAST(z0 AS FLOAT) * CAST(0.05 AS FLOAT) AS DOUBLE) AS z0,
   CAST(CAST(d0 AS FLOAT) * CAST(0.03 AS FLOAT) AS DOUBLE) AS d0, CAST(charge AS BIGINT) AS charge, quality, isolation,

@@ -61,12 +61,9 @@ def prescale_orbit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {HEADERS}, o AS (SELECT orbit, row_number() OVER (ORDER BY orbit) - 1 AS seq FROM (SELECT DISTINCT orbit FROM ev)) SELECT event, orbit FROM ev JOIN o USING (orbit) WHERE seq % 3 = 0")
 def prescale_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third orbit by sequence number; only distinct orbits are numbered."""
-    from pyspark.sql import Window
-
+    """Every third orbit by sequence number; distinct orbits are numbered in buckets."""
     e = parsed(spark, sf_dir)
-    # orbits number far fewer than events: one row each is ranked
-    seq = e.select("orbit").distinct().withColumn("seq", F.row_number().over(Window.orderBy("orbit")) - 1)
+    seq = S.numbered(e.select("orbit").distinct(), "orbit", number="seq")
     return S.prescaled(e.join(seq, "orbit"), 3, 0, "seq").select("event", "orbit")
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import decode, framing, live, select, wire
+from . import decode, files, framing, live, select, wire
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (decode, select, framing, live, wire):
+for _module in (decode, select, framing, live, wire, files):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES

@@ -44,7 +44,7 @@ def test_zero_words_between_events_need_the_option():
 
 
 def test_orbits_span_blocks():
-    data = F.encode_dth256(EVENTS)
+    data = F.ENCODERS["dth256"](EVENTS)
     assert data.count(F.DTH_MAGIC) >= 3  # 1200 words and headers need two blocks, the next orbit one
 
 
