@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tasks import in_arrow, written
+from .tasks import dropped, in_arrow, measured, written
 from .words import mix
 
 #: Bits of a filter at most (16 MB): beyond, it lets more pass, which only costs time.
@@ -43,8 +43,8 @@ class Filter:
 
 
 def key_filter(keys: DataFrame, column: str, most_bits: int = FILTER_BITS) -> Filter:
-    """A filter of all values of a long column; keys must be cheap to read twice."""
-    count = keys.count()
+    """A filter of all values of a long column of a written table, or of one that is cheap to read twice."""
+    count = measured(keys)
     out = Filter(min(most_bits, max(16, (16 * count).bit_length())))
     bits = out.bits
     out.crowded = count > 1 << (bits - 3)
@@ -63,11 +63,33 @@ def key_filter(keys: DataFrame, column: str, most_bits: int = FILTER_BITS) -> Fi
 
     # few parts of a fixed size each, whatever the number of keys
     parts = in_arrow(keys.select(F.col(column).cast("long")).coalesce(8), part, "at long, part binary")
-    for r in parts.groupBy("at").applyInPandas(either, "at long, part binary").toLocalIterator():
+    for r in parts.groupBy("at").applyInPandas(either, "at long, part binary").collect():
         out.bytes[r.at : r.at + len(r.part)] = np.frombuffer(bytes(r.part), np.uint8)
     return out
 
 
+#: Keys that are looked up in a table of their own at most, and the rows from which a key is one of them.
+HOT_KEYS, HOT_ROWS = 1000, 256
+
+
+def hot_keys(counts: DataFrame, key: str, count: str = "count") -> list:
+    """The HOT_KEYS keys with most rows, if of HOT_ROWS at least; counts: (key, count), each key once.
+
+    Any other key has less than one in HOT_KEYS of all rows.
+    """
+    often = counts.where((F.col(count) >= HOT_ROWS) & F.col(key).isNotNull()).select(key, count)
+    return [r[0] for r in often.orderBy(F.desc(count)).limit(HOT_KEYS).collect()]
+
+
+def looked_up(rows: DataFrame, found: DataFrame, key: str, hot: list) -> DataFrame:
+    """rows left-joined with found, which has each key at most once; the rows of hot keys are not shuffled."""
+    if not hot:
+        return rows.join(found, key, "left")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    few = F.broadcast(found.where(is_hot))
+    return rows.where(~is_hot).join(found.where(~is_hot), key, "left").unionByName(rows.where(is_hot).join(few, key, "left"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the least node that edges (a, b) reach from each node that has one.
 
@@ -76,12 +98,14 @@ def components(edges: DataFrame) -> DataFrame:
     """
     sides = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = written(sides.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    hubs = hot_keys(sides.groupBy("b").count(), "b")
     while True:
-        near = sides.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        spread = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = written(spread.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")))
-        changed = new.where("label <> old").limit(1).count()
-        labels = new.select("node", "label")
-        if not changed:
+        near = looked_up(sides, labels.withColumnRenamed("node", "b"), "b", hubs).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        spread = written(labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")), changed=(F.col("label") < F.col("old")).cast("long"))
+        if not measured(spread, "changed"):
+            dropped(sides, spread)
             return labels
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        jumped = looked_up(spread, jump, "label", hot_keys(spread.groupBy("label").count(), "label"))
+        before, labels = labels, written(jumped.select("node", F.least("label", F.coalesce("further", "label")).alias("label")))
+        dropped(spread, before)

@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard join: groups of documents whose shingle sets overlap enough.
+"""Exact n-gram Jaccard join: links, and groups, of documents whose shingle sets overlap enough.
 
 Documents become sets of hashed word shingles. Equal sets are one class, so
 copies are never paired. Two sets that link must share one of their rarest
@@ -6,18 +6,19 @@ shingles (prefix filtering); a fixed-size count sketch of all shingles puts
 frequent ones last in every set's order, so common passages rarely tie
 documents together. Any order gives the same links.
 
-Sets that share such a shingle meet in two rounds. First each set is compared
-with the leader it shares most with, which joins whole groups of near copies in
-linear time. Then the (shingle, size band) groups that still hold several
-components are searched by signature trees: nodes hold OR-combined shingle
-bitmaps and size ranges; a dual traversal prunes pairs of nodes that lie in one
-component, whose sizes can't match, or whose greatest possible overlap is too
-small. What is left clusters the sets; each set goes once to its
-cluster, where a tree over the cluster finds the links, shingle by shingle at
-its leaves. Large groups and clusters are split into blocks, a task for each
-pair of blocks, so that no task holds more than two blocks. Within a component
-not every link is looked for; the
-components are exact.
+Candidates are found on bitmaps. First each set meets the set it shares most
+with, which ties groups of near copies together in linear time. Then the
+(shingle, size band) groups that still hold several clusters are searched by
+signature trees: nodes hold OR-combined shingle bitmaps and size ranges; a dual
+traversal prunes pairs of nodes that lie in one cluster, whose sizes can't
+match, or whose greatest possible overlap is too small.
+
+Links are found by signature trees too: each set goes once to its cluster,
+whose tree is traversed against itself; pairs of leaves that no bound prunes
+compare their shingles. That gives each set's number of links and the
+components. A large cluster is split by size bands and blocks, a task for each
+pair of blocks, so that no task holds more than two blocks; its work grows with
+the pairs of its sets, as the number of its links does.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .graph import components, key_filter
-from .tasks import by_group, dropped, in_arrow, table, written
+from .graph import components, hot_keys, key_filter, looked_up
+from .tasks import by_group, dropped, in_arrow, measured, table, written
 from .words import SPACED, Words, _ranges, batches, signed
 
 #: Buckets of the count sketch (4 bytes each).
@@ -201,27 +202,6 @@ def _values(column: pa.Array, dtype=np.uint64) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), dtype) for x in column]
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two ordered sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of sets that link."""
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            ok = [links(_common(p, q), len(p), len(q), num, den) for p, q in zip(_values(batch.column(2)), _values(batch.column(3)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    left, right = (sets.select(F.col("set").alias(c), F.col("data").alias(f"data_{c}")) for c in "ab")
-    return in_arrow(pairs.join(left, "a").join(right, "b").select("a", "b", "data_a", "data_b"), run, "a long, b long")
-
-
 class Union:
     def __init__(self, of: list[int]):
         first: dict[int, int] = {}
@@ -248,11 +228,13 @@ class SignatureTree:
 
     FAN = 8
 
-    def __init__(self, bits: np.ndarray, size: np.ndarray):
-        """bits: a row of 64-bit words for each set; size: the sets' sizes, in order."""
+    def __init__(self, bits: np.ndarray, size: np.ndarray, leaf: int = 1):
+        """bits: a row of 64-bit words for each set; size: the sets' sizes; leaf: sets of a node of level 0."""
         excess = size - np.bitwise_count(bits).sum(1).astype(np.int64)
-        # level 0 holds the sets themselves
         self.levels = [(bits, size, size, excess)]
+        if leaf > 1:
+            at = np.arange(0, len(size), leaf)
+            self.levels = [(np.bitwise_or.reduceat(bits, at), np.minimum.reduceat(size, at), np.maximum.reduceat(size, at), np.maximum.reduceat(excess, at))]
         while len(self.levels[-1][1]) > 1:
             bits, low, high, excess = self.levels[-1]
             at = np.arange(0, len(low), self.FAN)
@@ -269,6 +251,20 @@ class SignatureTree:
         return (num + den) * min(most, int(high[i]), int(high[j])) >= num * int(low[i] + low[j])
 
 
+    def pairs(self, num: int, den: int) -> Iterator[tuple[int, int]]:
+        """Pairs i <= j of nodes of level 0 that may hold linked sets, by a dual traversal from the root."""
+        stack = [(len(self.levels) - 1, 0, 0)]
+        while stack:
+            level, i, j = stack.pop()
+            if not self.may_link(level, i, j, num, den):
+                continue
+            if level == 0:
+                yield i, j
+                continue
+            below = self.below(level, i)
+            stack += [(level - 1, x, y) for x in below for y in (self.below(level, j) if i != j else range(x, below.stop))]
+
+
 def bitmap_bits(size: int) -> int:
     """Bits of the bitmap of a set: a power of two, at least its size, within 64 and 65536."""
     return 1 << min(16, max(6, (max(size, 1) - 1).bit_length()))
@@ -322,15 +318,83 @@ def traversed(tree: SignatureTree, component: list[int], joins, num: int, den: i
     return out
 
 
-def _blocks(rows: DataFrame, blocks, *group: str) -> DataFrame:
+#: Sets of a leaf of the trees that find links, and shingles that are compared at once.
+LEAF = 64
+COLUMNS = 1 << 13
+
+
+def common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of the ordered sets of a with those of b, as a matrix."""
+    one, two = np.concatenate(a), np.concatenate(b)
+    of_one, of_two = (np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (a, b))
+    shared = np.intersect1d(one, two)
+    out = np.zeros((len(a), len(b)))
+    for i in range(0, len(shared), COLUMNS):
+        some = shared[i : i + COLUMNS]
+        tables = []
+        for value, of, n in ((one, of_one, len(a)), (two, of_two, len(b))):
+            at = np.minimum(np.searchsorted(some, value), len(some) - 1)
+            hit = some[at] == value
+            has = np.zeros((n, len(some)), np.float32)
+            has[of[hit], at[hit]] = 1
+            tables.append(has)
+        out += tables[0] @ tables[1].T
+    return np.rint(out).astype(np.int64)
+
+
+def all_links(sets: list[np.ndarray], num: int, den: int, weight: np.ndarray, own: np.ndarray, block: np.ndarray, same: bool) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """(links of each set by weight of its partners, edges that connect what links), by a signature tree.
+
+    Guests (not own) are not paired with each other; unless `same`, neither are sets of one block.
+    """
+    order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), len(sets[i])))
+    size = np.array([len(s) for s in sets])
+    bits = folded([bitmap(sets[i], bitmap_bits(int(size.max()))) for i in order])
+    tree = SignatureTree(bits, size[order], LEAF)
+    leaves = [np.array(order[i : i + LEAF]) for i in range(0, len(order), LEAF)]
+    links, edges, root = np.zeros(len(sets), np.int64), [], np.arange(len(sets))
+
+    def tie(i: int, j: int) -> None:
+        edges.append((i, j))
+        root[root == root[j]] = root[i]
+
+    def compared(a: int, b: int) -> None:
+        i, j = leaves[a], leaves[b]
+        inter = common([sets[x] for x in i], [sets[x] for x in j])
+        hit = (den * inter >= num * (size[i][:, None] + size[j] - inter)) & (inter > 0) & (own[i][:, None] | own[j])
+        if not same:
+            hit &= block[i][:, None] != block[j]
+        if a == b:
+            hit &= ~np.eye(len(i), dtype=bool)
+        links[i] += hit @ weight[j]
+        if a != b:
+            links[j] += weight[i] @ hit
+        while (apart := hit & (root[i][:, None] != root[j])).any():
+            for x in np.flatnonzero(apart.any(1)):
+                y = int(apart[x].argmax())
+                if root[i[x]] != root[j[y]]:
+                    tie(int(i[x]), int(j[y]))
+
+    for a, b in tree.pairs(num, den):
+        compared(a, b)
+    return links, edges
+
+
+def _blocks(rows: DataFrame, blocks) -> DataFrame:
     """Rows for each pair of blocks x <= y of their group; a row is in as many pairs as its group has blocks."""
     rows = rows.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")}).drop("other", "blocks")
 
 
+def _bands(num: int, den: int):
+    """(band, own) of a set: sets that link are in one band of sizes or in two that follow each other, so it is a guest in the next."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)) * 1.0000001)).cast("int")
+    return F.explode(F.array(F.struct(band.alias("at"), F.lit(True).alias("own")), F.struct((band + 1).alias("at"), F.lit(False).alias("own"))))
+
+
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """rows with comp, the component of their set."""
+    """rows with comp, the cluster of their set."""
     return rows.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("label", "set")).drop("label")
 
 
@@ -373,73 +437,101 @@ def _briefly(num: int, den: int):
     return hopeful | (F.greatest(*size) == 255)
 
 
-def _rest(rows: DataFrame, labels: DataFrame, found: DataFrame, reps: DataFrame, docs: DataFrame, text: str, k: int, num: int, den: int) -> DataFrame | None:
-    """Links between components, for the (token, size band) groups that hold several.
+def _nearest(shared: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) from sets to the set that shares most of their prefix among the least of its shingles, if bitmaps let them link."""
+    leaders = written(shared.groupBy("token").agg(F.min(F.struct("set", "n")).alias("lead"), F.max("set").alias("most"), F.count("*").alias("rows")).where("lead.set <> most"))
+    meets = looked_up(shared, leaders, "token", hot_keys(leaders, "token", "rows")).where(F.col("set") != F.col("lead.set"))
+    meets = meets.where(F.least("n", "lead.n").cast("long") * den >= F.greatest("n", "lead.n").cast("long") * num)
+    times = meets.groupBy("set", "n", F.col("lead").alias("lead")).agg(F.count("*").alias("times"))
+    # two sets that link share at least one value of their prefixes; one that shares a tenth of it is worth a look
+    pairs = times.groupBy("set", "n").agg(F.max(F.struct("times", "lead")).alias("best")).where(F.col("best.times") * 10 * den >= F.col("n").cast("long") * (den - num))
+    pairs = written(pairs.select(F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("best.lead.set").alias("b"), F.col("best.lead.n").alias("n_b")))
 
-    rows is a written table, and so is the result. Signature trees over the groups' bitmaps give clusters of sets that may
-    link, as spanning edges; then each set goes once to its cluster, whose
-    signature tree compares the shingles of the pairs left.
-    """
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)) * 1.0000001)).cast("int")
+    def may(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            sizes = zip(*(batch.column(i).to_pylist() for i in (1, 3)))
+            ok = []
+            for (n, m), x, y in zip(sizes, *(_values(batch.column(i), np.uint8) for i in (4, 5))):
+                low, high = ((n, x), (m, y)) if n <= m else ((m, y), (n, x))
+                ok.append(SignatureTree(folded([low[1], high[1]]), np.array([low[0], high[0]])).may_link(0, 0, 1, num, den))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    # many sets have one leader
+    left, right = (maps.select(F.col("set").alias(c), F.col("data").alias(f"data_{c}")) for c in "ab")
+    both = looked_up(pairs.join(left, "a"), right, "b", hot_keys(pairs.groupBy("b").count(), "b"))
+    found = written(in_arrow(both.select("a", "n_a", "b", "n_b", "data_a", "data_b"), may, "a long, b long"))
+    dropped(leaders, pairs)
+    return found
+
+
+def _across(shared: DataFrame, labels: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame | None:
+    """Edges (a, b) between clusters whose sets bitmaps let link, from signature trees over the (shingle, size band) groups."""
     measures = [F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.col("n") - F.col("rank")).alias("behind"), F.min("comp").alias("c0"), F.max("comp").alias("c1")]
     hopeful = F.expr("c0 <> c1") & ((F.col("size") > 2) | _enough(F.col("behind"), F.col("low"), F.col("high"), num, den))
-    # most tokens lie in one component or are shared by two sets that can't link: they go before rows are doubled
-    tokens = written(_labelled(rows, labels).groupBy("token").agg(*measures).where(hopeful).select("token"))
-    held = _labelled(_of_tokens(rows, tokens), labels).withColumn("band", band)
-    # sets that link are in one band or in two that follow each other: a set is a guest in the next
-    bands = F.explode(F.array(F.struct(F.col("band").alias("at"), F.lit(True).alias("own")), F.struct((F.col("band") + 1).alias("at"), F.lit(False).alias("own"))))
-    held = held.select("token", "set", "n", "rank", "comp", bands.alias("p")).select("token", "set", "n", "rank", "comp", "p.at", "p.own")
-    groups = held.groupBy("token", "at").agg(*measures, F.max("own").alias("any_own"), F.bit_xor(F.xxhash64("set", "own")).alias("mark"))
+    # most tokens lie in one cluster or are shared by two sets that can't link: they go before rows are doubled
+    tokens = written(_labelled(shared, labels).groupBy("token").agg(*measures).where(hopeful).select("token"))
+    held = _labelled(_of_tokens(shared, tokens), labels).select("token", "set", "n", "rank", "comp", _bands(num, den).alias("p"))
+    # a group's name; should two have one name, their sets just meet as well
+    held = written(held.select(F.xxhash64("token", "p.at").alias("name"), "set", "n", "rank", "comp", "p.own"))
+    groups = held.groupBy("name").agg(*measures, F.max("own").alias("any_own"), F.bit_xor(F.xxhash64("set", "own")).alias("mark"))
     groups = groups.where(hopeful & F.col("any_own"))
     # tokens that the very same sets share make the same group: one of them stays
-    groups = groups.groupBy("at", "mark", "size").agg(F.min("token").alias("token"))
-    members = written(held.drop("rank").join(groups.select("token", "at", "size"), ["token", "at"]))
-    if not members.limit(1).count():
-        return None
-    maps = _made(docs, text, k, written(reps.join(members.select("set").distinct(), "set", "left_semi")), lambda x: bitmap(x, bitmap_bits(len(x))))
-    paired = _blocks(members, F.ceil(F.col("size") / BITMAP_BLOCK), "token", "at").join(maps, "set")
+    groups = written(groups.groupBy("mark", "size").agg(F.min("name").alias("name")))
+    members = looked_up(held.drop("rank"), groups.select("name", "size"), "name", hot_keys(groups, "name", "size")).where("size IS NOT NULL")
+    paired = _blocks(members, F.ceil(F.col("size") / BITMAP_BLOCK)).join(maps, "set")
 
     def cluster(rows: pa.Table) -> pa.RecordBatch | None:
         order = np.lexsort((rows["set"].to_numpy(), rows["n"].to_numpy()))
         own, block, key, n, comp = (rows[c].to_numpy()[order] for c in ("own", "block", "set", "n", "comp"))
         if den * n[-1] < num * n[0] and len(n) == 2:
             return None
-        same, maps = rows["x"][0] == rows["y"][0], _values(rows["data"], np.uint8)
-        tree = SignatureTree(folded([maps[i] for i in order]), n)
+        same, bits = rows["x"][0] == rows["y"][0], _values(rows["data"], np.uint8)
+        tree = SignatureTree(folded([bits[i] for i in order]), n)
         # guests meet each other in their own band; sets of one block in the block's own task
         return _edges(traversed(tree, comp.tolist(), lambda i, j: bool(own[i] or own[j]) and bool(same or block[i] != block[j]), num, den), key)
 
-    paired = paired.select("token", "at", "x", "y", "set", "n", "comp", F.col("own").cast("int").alias("own"), "block", "data")
-    may = written(by_group(paired, ["token", "at", "x", "y"], cluster, "a long, b long").distinct())
-    dropped(maps, members)
-    if not may.limit(1).count():
-        return None
-    clusters = components(found.unionByName(may)).withColumnRenamed("node", "set").withColumnRenamed("label", "cluster")
-    # of clusters without a candidate edge nothing is left to compare
-    open_ = clusters.join(may.select(F.col("a").alias("set")).distinct(), "set", "left_semi").select("cluster").distinct()
-    sizes = reps.join(clusters.join(open_, "cluster", "left_semi"), "set").join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("comp", F.coalesce("label", "set"))
-    sizes = written(sizes.select("cluster", "set", "n", "comp", "row"))
-    per = sizes.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("k"))
-    values = _made(docs, text, k, sizes, lambda x: x)
-    searched = _blocks(sizes.join(per, "cluster"), F.col("k"), "cluster").join(values, "set")
+    paired = paired.select("name", "x", "y", "set", "n", "comp", F.col("own").cast("int").alias("own"), "block", "data")
+    may = written(by_group(paired, ["name", "x", "y"], cluster, "a long, b long").distinct())
+    dropped(tokens, held, groups)
+    return may
 
-    def search(rows: pa.Table) -> pa.RecordBatch | None:
-        order = np.lexsort((rows["set"].to_numpy(), rows["n"].to_numpy()))
-        block, key, comp = (rows[c].to_numpy()[order] for c in ("block", "set", "comp"))
-        same = rows["x"][0] == rows["y"][0]
-        sets = _values(rows["data"])
-        sets = [sets[i] for i in order]
-        size = np.array([len(s) for s in sets])
-        tree = SignatureTree(folded([bitmap(s, bitmap_bits(int(size[-1]))) for s in sets]), size)
 
-        def joins(i: int, j: int) -> bool:
-            return bool(same or block[i] != block[j]) and links(_common(sets[i], sets[j]), len(sets[i]), len(sets[j]), num, den)
+def _links(docs: DataFrame, reps: DataFrame, clusters: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """kind 0: (a, n): set a links to n rows of other sets; 1: an edge (a, b) of the graph of links. reps: set, row, n, copies."""
+    sizes = written(reps.join(clusters.withColumnRenamed("node", "set"), "set").select("set", "row", "n", "copies", F.col("label").alias("cluster")))
+    values = _made(docs, "text", k, sizes, lambda x: x)
 
-        return _edges(traversed(tree, comp.tolist(), joins, num, den), key)
+    def per(rows: DataFrame, key: str) -> DataFrame:
+        blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+        return written(rows.groupBy(key).agg(blocks.alias("blocks"), F.count("*").alias("rows")))
 
-    searched = searched.select("cluster", "x", "y", "set", "n", "comp", "block", "data")
-    out = written(by_group(searched, ["cluster", "x", "y"], search, "a long, b long"))
-    dropped(values, sizes)
+    whole = per(sizes, "cluster")
+    of = looked_up(sizes, whole, "cluster", hot_keys(whole, "cluster", "rows"))
+    small = of.where("blocks = 1").select(F.col("cluster").alias("name"), "set", "n", "copies", F.lit(True).alias("own"), F.lit(1).alias("blocks"))
+    # the sets of a large cluster meet those of like size only
+    large = of.where("blocks > 1").select("cluster", "set", "n", "copies", _bands(num, den).alias("p"))
+    bands = written(large.select(F.xxhash64("cluster", "p.at").alias("name"), "set", "n", "copies", "p.own"))
+    parts = per(bands, "name")
+    large = looked_up(bands, parts, "name", hot_keys(parts, "name", "rows")).select("name", "set", "n", "copies", "own", F.col("blocks").cast("int").alias("blocks"))
+    searched = _blocks(small.unionByName(large), F.col("blocks")).join(values, "set")
+
+    def search(rows: pa.Table) -> pa.RecordBatch | None:
+        # a set may have come along twice
+        once = np.unique(rows["set"].to_numpy(), return_index=True)[1]
+        sets = [x for x in _values(rows["data"].take(pa.array(once)))]
+        own, block, key, copies = (rows[c].to_numpy()[once] for c in ("own", "block", "set", "copies"))
+        if not own.any():
+            return None
+        n, edges = all_links(sets, num, den, copies, own == 1, block, rows["x"][0] == rows["y"][0])
+        at = np.flatnonzero(n)
+        a, b = (np.array([e[i] for e in edges], np.int64) for i in (0, 1))
+        none = np.zeros(len(at), np.int64)
+        columns = [np.repeat(np.array([0, 1], np.int32), [len(at), len(a)]), np.concatenate((key[at], key[a])), np.concatenate((none, key[b])), np.concatenate((n[at], np.zeros(len(a), np.int64)))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "a", "b", "n"])
+
+    searched = searched.select("name", "x", "y", "set", F.col("own").cast("int").alias("own"), "block", "copies", "data")
+    out = written(by_group(searched, ["name", "x", "y"], search, "kind int, a long, b long, n long"))
+    dropped(values, sizes, whole, bands, parts)
     return out
 
 
@@ -450,57 +542,63 @@ def _edges(pairs: list[tuple[int, int]], key: np.ndarray) -> pa.RecordBatch | No
     return pa.RecordBatch.from_arrays([pa.array(key[at[:, 0]]), pa.array(key[at[:, 1]])], names=["a", "b"])
 
 
-def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
-    """(id, n_shingles, component_id) for each row of docs: the set's size, and the least id that links reach.
-
-    Two rows link when den * |A & B| >= num * |A | B| for their sets of distinct
-    k-word shingles of ASCII-lower-cased text. Null, empty and wordless texts
-    have the empty set, which links with nothing: their component is their own
-    id. Repeated rows and texts with equal sets are in one component. A null id
-    never is a component's least unless all its ids are null. Very long texts
-    are taken whole. An empty table gives no rows. Other columns aren't looked at.
-    """
+def _candidates(docs: DataFrame, reps: DataFrame, made: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(node, label): clusters of sets such that all sets that link are in one."""
     spark = docs.sparkSession
-    docs, text = _numbered(docs, key, text, row), "text"
-    measured = written(_measured(docs, k))
-    rows = measured.where("kind = 0").select("id", F.col("n").alias("n_shingles"), "set")
-    # each set's first row stands for it
-    reps = written(measured.where("kind = 0 AND n > 0").groupBy("set").agg(F.min("row").alias("row"), F.first("n").alias("n")))
-    frequent = measured.where("kind = 1").groupBy("row").agg(F.sum("n").alias("times")).collect()  # at most SKETCH rows
+    frequent = made.where("kind = 1").groupBy("row").agg(F.sum("n").alias("times")).collect()  # at most SKETCH rows
     counts = np.zeros(SKETCH, np.uint32)
     for r in frequent:
         counts[r[0]] = min(r[1], 2**32 - 1)
     sketch = spark.sparkContext.broadcast(counts)
     first = spark.sparkContext.broadcast(key_filter(reps, "row"))
 
-    tokens = _prefixes(docs, text, k, num, den, sketch, first, None).select("token", _brief(num, den).alias("brief"))
+    tokens = _prefixes(docs, "text", k, num, den, sketch, first, None).select("token", _brief(num, den).alias("brief"))
     tokens = tokens.groupBy("token").agg(F.min("brief").alias("least"), F.max("brief").alias("most"), F.count("*").alias("size"))
     # most shared tokens are chance: their two sets differ too much in size, or would have to share one before
     tokens = written(tokens.where((F.col("least") != F.col("most")) & ((F.col("size") > 2) | _briefly(num, den))).select("token"))
     only = spark.sparkContext.broadcast(key_filter(tokens, "token"))
-    shared = written(_prefixes(docs, text, k, num, den, sketch, first, only).distinct())
+    shared = written(_prefixes(docs, "text", k, num, den, sketch, first, only).distinct())
+    maps = _made(docs, "text", k, written(reps.join(shared.select("set").distinct(), "set", "left_semi")), lambda x: bitmap(x, bitmap_bits(len(x))))
+    near = _nearest(shared, maps, num, den)
+    labels = components(near)
+    more = _across(shared, labels, maps, num, den)
+    if measured(more):
+        labels = components(near.unionByName(more))
+    dropped(tokens, shared, maps, near, more)
+    return labels
 
-    leaders = shared.groupBy("token").agg(F.min(F.struct("set", "n")).alias("lead"), F.max("set").alias("most")).where("lead.set <> most")
-    meets = shared.join(leaders, "token").where(F.col("set") != F.col("lead.set"))
-    meets = meets.where(F.least("n", "lead.n").cast("long") * den >= F.greatest("n", "lead.n").cast("long") * num)
-    times = meets.groupBy("set", "n", F.col("lead.set").alias("lead")).agg(F.count("*").alias("times"))
-    # two sets that link share at least one value of their prefixes; a leader that shares a tenth of it is worth a look
-    pairs = times.groupBy("set", "n").agg(F.max(F.struct("times", "lead")).alias("best")).where(F.col("best.times") * 10 * den >= F.col("n").cast("long") * (den - num))
-    pairs = written(pairs.select(F.col("set").alias("a"), F.col("best.lead").alias("b")))
-    both = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    sets = _made(docs, text, k, written(reps.join(both, "set", "left_semi")), lambda x: x)
-    found = written(_verified(pairs, sets, num, den))
-    dropped(sets)
-    labels = components(found)
-    more = _rest(shared, labels, found, reps, docs, text, k, num, den)
-    dropped(shared, tokens)
-    if more is not None and more.limit(1).count():
-        labels = components(found.unionByName(more))
-
-    joined = rows.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("group", F.when(F.col("n_shingles") > 0, F.coalesce("label", "set")))
-    joined = written(joined.select("id", "n_shingles", "group"))
-    least = joined.where("group IS NOT NULL").groupBy("group").agg(F.min("id").alias("least"))
-    return joined.join(least, "group", "left").select("id", "n_shingles", F.when(F.col("group").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+
+def grouped(docs: DataFrame, k: int, num: int, den: int, key: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """(id, n_shingles, component_id, n_links) for each row of docs: the set's size, the least id that links reach, and the number of rows that link with it.
+
+    Two rows link when den * |A & B| >= num * |A | B| for their sets of distinct
+    k-word shingles of ASCII-lower-cased text. Null, empty and wordless texts
+    have the empty set, which links with nothing: their component is their own
+    id. Repeated rows and texts with equal sets are in one component, and link
+    with each other. A null id
+    never is a component's least unless all its ids are null. Very long texts
+    are taken whole. An empty table gives no rows. Other columns aren't looked at.
+    """
+    docs = _numbered(docs, key, text, row)
+    made = written(_measured(docs, k))
+    rows = made.where("kind = 0").select("id", F.col("n").alias("n_shingles"), "set")
+    # each set's first row stands for it
+    reps = written(made.where("kind = 0 AND n > 0").groupBy("set").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.count("*").alias("copies"), F.min("id").alias("least")))
+    found = None
+    if num < den:  # else only equal sets link
+        found = _links(docs, reps, _candidates(docs, reps, made, k, num, den), k, num, den)
+    sets = reps.select("set", "least", "copies", F.col("set").alias("group"), (F.col("copies") - 1).alias("n_links"))
+    if found is not None:
+        labels = components(found.where("kind = 1"))
+        times = found.where("kind = 0").groupBy(F.col("a").alias("set")).agg(F.sum("n").alias("others"))
+        sets = sets.drop("group").join(labels.withColumnRenamed("node", "set"), "set", "left").join(times, "set", "left")
+        sets = written(sets.select("set", "least", "copies", F.coalesce("label", "set").alias("group"), (F.col("n_links") + F.coalesce("others", F.lit(0))).alias("n_links")))
+    groups = written(sets.groupBy("group").agg(F.min("least").alias("component_id"), F.count("*").alias("sets")))
+    of_set = looked_up(sets.select("set", "group", "copies", "n_links"), groups, "group", hot_keys(groups, "group", "sets"))
+    of_set = written(of_set.select("set", "copies", "component_id", "n_links"))
+    out = looked_up(rows.where("n_shingles > 0"), of_set.drop("copies"), "set", hot_keys(of_set, "set", "copies"))
+    alone = rows.where("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    return out.select("id", "n_shingles", "component_id", "n_links").unionByName(alone)
 
 
 def deduplicated(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,16 +50,28 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def written(df: DataFrame) -> DataFrame:
-    """The same rows from a table in the shared folder: cuts the lineage, survives lost executors."""
+def written(df: DataFrame, **sums: Column) -> DataFrame:
+    """The same rows from a table in the shared folder: cuts the lineage, survives lost executors.
+
+    measured() tells the number of its rows, and other sums that are taken on
+    the way. A stage that runs again may count rows twice; 0 is exact.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/bunchflow/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(c), F.lit(0)).alias(k) for k, c in sums.items()])
+    observed.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    out._bunchflow_path = path
+    out._bunchflow_path, out._bunchflow_sums = path, seen.get
     return out
 
 
+def measured(table: DataFrame, name: str = "rows") -> int:
+    """What was summed while the table was written; of another table, its rows are counted."""
+    sums = getattr(table, "_bunchflow_sums", None)
+    return sums[name] if sums else table.count()
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes written tables that no later step reads."""
     for df in tables:
