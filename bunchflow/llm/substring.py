@@ -1,7 +1,9 @@
 """Exact removal of word passages that recur anywhere in the corpus.
 
 A window of WINDOW words is judged by whether its word sequence also starts at
-another place. Texts with equal word sequences are one class, read once.
+another place. Texts with equal word sequences are one class. The first pass
+writes the texts, one of each class that a task meets, under the number of their
+group, so that later passes read the same groups however their scans are split.
 
 1. Each window has an anchor, its least hashed SEED-word phrase, so equal windows
    have equal anchors, and a text has one anchor in about 14 words. Anchors of
@@ -28,12 +30,12 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .graph import key_filter
-from .tasks import by_group, in_arrow, table, written
+from .graph import hot_keys, key_filter, looked_up
+from .tasks import by_group, dropped, in_arrow, table, written
 from .words import SPACED, Words, batches, signed, tokenize
 
 WINDOW = 35
@@ -67,40 +69,48 @@ def whole_keys(w: Words) -> np.ndarray:
     return signed(w.whole())
 
 
-def _measured(docs: DataFrame, key: str, text: str) -> DataFrame:
-    data = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    schema = T.StructType([data.schema["id"], T.StructField("n_words", T.LongType()), T.StructField("class", T.LongType()), T.StructField("sha256", T.StringType())])
+def _measured(docs: DataFrame, key: str, text: str, window: int, group_words: int) -> DataFrame:
+    """(id, n_words, class, sha256) of each document; (class, group, text) with a null n_words of the texts to search.
+
+    Those are texts of at least a window, one of each class that the task
+    meets; group: a number of its own for every group_words words of them.
+    """
+    data = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), F.monotonically_increasing_id().alias("group"))
+    kinds = [("n_words", T.LongType()), ("class", T.LongType()), ("sha256", T.StringType()), ("group", T.LongType()), ("text", T.StringType())]
+    schema = T.StructType([data.schema["id"], *(T.StructField(c, t) for c, t in kinds)])
+    names = schema.names
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        group, words = None, 0
         for batch in it:
+            numbers = batch.column(2).to_numpy()
             for row, end, w in batches(batch.column(1), SPACED, False):
-                sha = [hashlib.sha256(b" ".join((x.as_py() or "").encode().split())).hexdigest() for x in batch.column(1).slice(row, end - row)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(w.counts.astype(np.int64)), pa.array(whole_keys(w)), pa.array(sha)], names=["id", "n_words", "class", "sha256"])
+                n, keys, texts = end - row, whole_keys(w), batch.column(1).slice(row, end - row)
+                sha = [hashlib.sha256(b" ".join((x.as_py() or "").encode().split())).hexdigest() for x in texts]
+                rows = [batch.column(0).slice(row, n), pa.array(w.counts.astype(np.int64)), pa.array(keys), pa.array(sha), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())]
+                yield pa.RecordBatch.from_arrays(rows, names=names)
+                at = [i for i in np.flatnonzero(w.counts >= window).tolist() if not (int(keys[i]) in seen or seen.add(int(keys[i])))]
+                if not at:
+                    continue
+                # the number of the group's first chunk names it: no other task has it
+                group = int(numbers[row]) if group is None else group
+                n, words = len(at), words + int(w.counts[at].sum())
+                rows = [pa.nulls(n, batch.schema.field(0).type), pa.nulls(n, pa.int64()), pa.array(keys[at]), pa.nulls(n, pa.string()), pa.array(np.full(n, group, np.int64)), texts.take(pa.array(at))]
+                yield pa.RecordBatch.from_arrays(rows, names=names)
+                if words >= group_words:
+                    group, words = None, 0
 
     return in_arrow(data, run, schema)
 
 
-def _fresh(w: Words, window: int, seen: set[int]) -> np.ndarray:
-    """Texts with a window whose class this task has not met."""
-    keys, new = whole_keys(w), np.zeros(len(w.counts), bool)
-    for i in np.flatnonzero(w.counts >= window):
-        if (x := int(keys[i])) not in seen:
-            seen.add(x)
-            new[i] = True
-    return new
-
-
-def _anchors(docs: DataFrame, text: str, window: int, seed: int) -> DataFrame:
+def _anchors(texts: DataFrame, window: int, seed: int) -> DataFrame:
     """(anchor, class, often): anchors of a chunk's windows; often: one of its windows occurs twice in the chunk."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in it:
             for _, _, w in batches(batch.column(0), SPACED, False):
-                new = _fresh(w, window, seen)
                 value, anchor, doc, _ = window_hashes(w, window, seed)
-                keep = new[doc]
-                value, anchor, doc = value[keep], anchor[keep], doc[keep]
                 if not len(value):
                     continue
                 order = np.argsort(value)
@@ -112,30 +122,7 @@ def _anchors(docs: DataFrame, text: str, window: int, seed: int) -> DataFrame:
                 keys = whole_keys(w)
                 yield pa.RecordBatch.from_arrays([pa.array(signed(anchor[first])), pa.array(keys[doc[first]]), pa.array(twice[first])], names=["anchor", "class", "often"])
 
-    return in_arrow(docs.select(F.col(f"`{text}`").cast("string").alias("text")), run, "anchor long, class long, often boolean")
-
-
-def _numbered(docs: DataFrame, text: str) -> DataFrame:
-    """(row, text): rows by number. A table's rows have the same numbers each time that it is read."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
-
-
-def _grouped(it: Iterator[pa.RecordBatch], window: int, most: int) -> Iterator[tuple[int, bool, pa.Array, Words, np.ndarray]]:
-    """(group, whether its last chunk, texts, their words, which are new to the task) of (row, text) batches.
-
-    A group is named by its first row, so each reading of a table gives the same groups.
-    """
-    seen: set[int] = set()
-    group, words = None, 0
-    for batch in it:
-        numbers = batch.column(0).to_numpy()
-        for row, end, w in batches(batch.column(1), SPACED, False):
-            group = int(numbers[row]) if group is None else group
-            words += len(w.hashes)
-            full = words >= most
-            yield group, full, batch.column(1).slice(row, end - row), w, _fresh(w, window, seen)
-            if full:
-                group, words = None, 0
+    return in_arrow(texts.select("text"), run, "anchor long, class long, often boolean")
 
 
 def phrases_of(value: np.ndarray, key: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -178,10 +165,11 @@ def phrases_of(value: np.ndarray, key: np.ndarray, at: np.ndarray) -> tuple[np.n
     return np.flatnonzero(~more[number]), first, np.flatnonzero(more[number]), begins, ends
 
 
-def _windows(docs: DataFrame, text: str, window: int, seed: int, group_words: int, only) -> DataFrame:
+def _windows(texts: DataFrame, window: int, seed: int, only) -> DataFrame:
     """kind 0: a window (value, group, class, at) that its group has once; 1: one that it has more often.
 
     2: a phrase at .. till of the latter; 3: a text with any of the latter.
+    Of a group that a scan splits, each part announces its own.
     """
 
     def emit(group: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
@@ -190,24 +178,29 @@ def _windows(docs: DataFrame, text: str, window: int, seed: int, group_words: in
         yield _rows(0, group, value[once], key[once], at[once], at[once] + 1)
         yield _rows(1, group, value[first], key[first], at[first], at[first] + 1)
         yield _rows(2, group, value[begins], key[begins], at[begins], at[ends - 1] + 1)
-        texts = np.unique(key[twice])
-        none = np.zeros(len(texts), np.int64)
-        yield _rows(3, group, none.astype(np.uint64), texts, none, none)
+        some = np.unique(key[twice])
+        none = np.zeros(len(some), np.int64)
+        yield _rows(3, group, none.astype(np.uint64), some, none, none)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         group = None
-        for group, full, _, w, new in _grouped(it, window, group_words):
-            value, anchor, doc, at = window_hashes(w, window, seed)
-            keep = new[doc] & only.value.has(signed(anchor)) if len(doc) else new[doc]
-            held.append((value[keep], whole_keys(w)[doc[keep]], at[keep]))
-            if full:
-                yield from emit(group, held)
-                held = []
+        for batch in it:
+            numbers = batch.column(0).to_numpy()
+            cuts = np.flatnonzero(np.diff(numbers)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(numbers)]):
+                if held and numbers[a] != group:
+                    yield from emit(group, held)
+                    held = []
+                group = int(numbers[a])
+                for _, _, w in batches(batch.column(1).slice(a, b - a), SPACED, False):
+                    value, anchor, doc, at = window_hashes(w, window, seed)
+                    keep = only.value.has(signed(anchor))
+                    held.append((value[keep], whole_keys(w)[doc[keep]], at[keep]))
         if held:
             yield from emit(group, held)
 
-    return in_arrow(_numbered(docs, text), run, "kind int, value long, group long, class long, at long, till long")
+    return in_arrow(texts.select("group", "text"), run, "kind int, value long, group long, class long, at long, till long")
 
 
 def _rows(kind: int, group: int, value: np.ndarray, key: np.ndarray, at: np.ndarray, till: np.ndarray) -> pa.RecordBatch:
@@ -216,18 +209,15 @@ def _rows(kind: int, group: int, value: np.ndarray, key: np.ndarray, at: np.ndar
     return pa.RecordBatch.from_arrays(columns, names=["kind", "value", "group", "class", "at", "till"])
 
 
-def _group_texts(docs: DataFrame, text: str, window: int, group_words: int, classes: DataFrame) -> DataFrame:
+def _group_texts(texts: DataFrame, classes: DataFrame) -> DataFrame:
     """(group, class, text): the texts of the classes (a written column `class`), and maybe some more."""
-    only = docs.sparkSession.sparkContext.broadcast(key_filter(classes, "class"))
+    only = texts.sparkSession.sparkContext.broadcast(key_filter(classes, "class"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, _, texts, w, new in _grouped(it, window, group_words):
-            keys = whole_keys(w)
-            at = np.flatnonzero(new & only.value.has(keys))
-            if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), group, np.int64)), pa.array(keys[at]), texts.take(pa.array(at))], names=["group", "class", "text"])
+        for batch in it:
+            yield batch.filter(pa.array(only.value.has(batch.column(1).to_numpy())))
 
-    return in_arrow(_numbered(docs, text), run, "group long, class long, text string")
+    return in_arrow(texts.select("group", "class", "text"), run, "group long, class long, text string")
 
 
 def merged(kind: np.ndarray, key: np.ndarray, at: np.ndarray, till: np.ndarray) -> list[tuple[int, int, int]]:
@@ -324,31 +314,35 @@ def removed(docs: DataFrame, window: int = WINDOW, seed: int = SEED, key: str =
     starts at another place of the corpus too, in the same text or another;
     windows are judged on the input. Texts of fewer words, null and empty ones
     lose nothing. Repeated rows are different places. Any length is taken
-    whole. An empty table gives no rows; other columns aren't looked at. docs
-    must read the same rows in the same order each time, as a table does.
+    whole. An empty table gives no rows; other columns aren't looked at. docs is
+    read once.
     """
     spark = docs.sparkSession
-    rows = written(_measured(docs, key, text))
-    copies = rows.where(F.col("n_words") >= window).groupBy("class").agg(F.count("*").alias("copies")).where("copies > 1")
+    made = written(_measured(docs, key, text, window, group_words))
+    rows = made.where("n_words IS NOT NULL").select("id", "n_words", "class", "sha256")
+    texts = made.where("n_words IS NULL").select("group", "class", "text")
+    copies = written(rows.where(F.col("n_words") >= window).groupBy("class").agg(F.count("*").alias("copies")).where("copies > 1"))
 
-    places = _anchors(docs, text, window, seed).groupBy("anchor").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.max("often").alias("often"))
+    places = _anchors(texts, window, seed).groupBy("anchor").agg(F.min("class").alias("least"), F.max("class").alias("most"), F.max("often").alias("often"))
     anchors = written(places.where("often OR least <> most").select("anchor"))
     only = spark.sparkContext.broadcast(key_filter(anchors, "anchor"))
-    found = written(_windows(docs, text, window, seed, group_words, only))
+    found = written(_windows(texts, window, seed, only))
 
-    # a value's rows are one a group of texts at most
-    by = Window.partitionBy("value")
+    # a value's rows are one a group of texts at most, and are merged where they are before they meet
     place = F.struct("class", "at")
-    open_ = found.where("kind < 2").withColumns({"told": F.max("kind").over(by), "least": F.min(place).over(by), "most": F.max(place).over(by)})
-    confirmed = open_.where("kind = 0 AND (told = 1 OR least <> most)").select("kind", "group", "class", "at", "till")
+    told = found.where("kind < 2").groupBy("value").agg(F.max("kind").alias("told"), F.min(place).alias("least"), F.max(place).alias("most"))
+    told = told.where("told = 1 OR least <> most").select("value")
+    confirmed = found.where("kind = 0").join(told, "value", "left_semi").select("kind", "group", "class", "at", "till")
     # a class with copies loses all its words anyway; phrases of other texts may be read from it
     confirmed = written(confirmed.join(copies, "class", "left_anti"))
     phrases = confirmed.unionByName(found.where("kind = 2").select(*confirmed.columns))
     streamed = found.where("kind = 3").select("class").join(copies, "class", "left_anti")
     classes = written(phrases.select("class").union(streamed).distinct())
-    cuts = _located(_group_texts(docs, text, window, group_words, classes), phrases, window, with_text)
+    cuts = _located(_group_texts(texts, classes), phrases, window, with_text)
     cuts = written(cuts.groupBy("class").agg(F.first("n_cut").alias("n_cut"), F.first("cut_sha256").alias("cut_sha256"), F.first("kept").alias("kept")))
-    out = rows.join(copies, "class", "left").join(cuts, "class", "left")
+    dropped(anchors, found, confirmed, classes)
+    both = copies.join(cuts, "class", "full")
+    out = looked_up(rows, both, "class", hot_keys(copies, "class", "copies"))
     all_gone = F.col("copies").isNotNull()
     columns = [
         F.col("id"),
