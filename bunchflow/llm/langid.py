@@ -1,9 +1,9 @@
 """Language identification: known words first, then shorter and shorter character n-grams.
 
 The model counts words and the character n-grams of padded words, n = 4 to 1,
-for each language, on a bounded sample of labelled rows (TRAIN_ROWS a language,
-picked by a hash of the row's text, whole texts); it keeps the KEEP most
-frequent entries of a language and kind. A known word scores the log of its
+for each language, on a bounded sample of labelled rows: the TRAIN_ROWS
+different texts of a language with the least hashes, whole, each once however
+many copies it has. All their words and n-grams stay. A known word scores the log of its
 relative frequency in each language. An unseen word is covered by n-grams: at
 each place the longest known one counts, and the word scores their mean.
 A text's score is the sum over its words; the result is the best language and
@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tasks import in_arrow, table, with_arrow
+from .tasks import in_arrow, table, with_arrow, written
 
-#: Bounds: labelled rows a language (about), and entries a language and kind.
+#: Bounds: different labelled texts of a language, and languages; more of these are an error.
 TRAIN_ROWS = 1000
-KEEP = 12_000
+MOST_LANGS = 1000
 LONGEST = 4
 UNKNOWN = "und"
 _CACHE = 200_000
@@ -116,17 +116,38 @@ class Model:
         return self.langs[best], 1.0 / sum(math.exp(max((t - totals[best]) / heat, -700.0)) for t in totals)
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRAIN_ROWS, keep: int = KEEP) -> Model:
+def sampled(labelled: DataFrame, rows: int) -> DataFrame:
+    """(lang, text) of the `rows` different texts of each language with the least hashes; labelled: lang and text, no nulls.
+
+    What is shuffled is hashes, then the chosen texts: a hot language or text is
+    merged in its own tasks first.
+    """
+    keyed = labelled.withColumn("hash", F.xxhash64("text"))
+    texts = written(keyed.groupBy("lang", "hash").agg(F.lit(1).alias("one")).select("lang", "hash"))
+    counts = {r[0]: r[1] for r in texts.groupBy("lang").count().limit(MOST_LANGS + 1).collect()}
+    if len(counts) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
+    if not counts:
+        return labelled
+    # twice as many as wanted pass a share of the hashes, or all where there are few; of these the least are exact
+    shares = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 2 * (rows + 50) / n)))])
+    place = F.shiftrightunsigned("hash", 11).cast("double") / F.lit(float(1 << 53))
+    near = texts.where(place < shares[F.col("lang")])
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("hash", 11), "hash")
+    # rows x MOST_LANGS rows of a language and a hash at most
+    chosen = written(near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows).select("lang", "hash"))
+    return keyed.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text")
+
+
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRAIN_ROWS) -> Model:
     """A model of the labelled rows; those of null text or lang don't count. None left: a model that says `und`."""
     labelled = labelled.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    share = F.least(F.lit(1.0), F.lit(float(rows)) / F.col("count"))
-    per_lang = labelled.groupBy("lang").count().withColumn("share", share).select("lang", "share")
-    picked = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * F.lit(float(1 << 20))
-    sample = labelled.join(per_lang, "lang").where(picked).select("lang", "text")
-    counted = in_arrow(sample, _counted, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
-    by = Window.partitionBy("lang", "n")
-    top = counted.withColumn("all", F.sum("times").over(by)).withColumn("place", F.row_number().over(by.orderBy(F.desc("times"), "gram"))).where(F.col("place") <= keep)
-    return Model([tuple(r) for r in top.select("lang", "n", "gram", "times", "all").collect()])
+    counted = in_arrow(sampled(labelled, rows), _counted, "lang string, n int, gram string, times long").groupBy("lang", "n", "gram").agg(F.sum("times").alias("times"))
+    found = [tuple(r) for r in counted.collect()]
+    total: Counter = Counter()
+    for lang_, n, _, times in found:
+        total[lang_, n] += times
+    return Model([(*r, total[r[0], r[1]]) for r in found])
 
 
 def identified(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
