@@ -1,16 +1,22 @@
 """Main text of web pages, with site templates found by counting element subtrees per host.
 
 A page is read once into a flat list of openings, texts and closings, in time
-in proportion to its length and without recursion. Container subtrees (their
-tags and texts) are hashed bottom up; Spark counts for each host on how many
-different pages a subtree stands, and those on at least SHARE of the host's
-pages (and LEAST pages) are its template. Pages whose whole main text is the
-same count once, so copies of an article do not turn it into a template, and
-a subtree inside the article is deleted only if most of its text is links:
-paragraphs that articles share stay.
-
-Extraction deletes the host's template, elements that are never main text by tag,
-role or class, and takes the article (else the main element, else the body).
+in proportion to its length and without recursion. Block subtrees (their tags
+and texts) are hashed bottom up; Spark counts for each host on how many
+different pages a subtree stands. Those on at least SHARE of the host's pages
+(and LEAST pages) are its template. Pages whose whole text is the same count
+once, so copies of an article do not turn it into a template.
+
+The text is that of the article (else the main element, else the body) without
+elements that are never main text by tag, role or whole class name. In it, the
+host's template is deleted: containers outside an article, and link-heavy ones
+inside; at MOST of the host's pages, also other containers of an article and
+single blocks of a page without one, unless these make up most of the page's
+text. Single paragraphs, headings, quotes and list items of an article stay,
+however many articles of the host have them: a licence line is text.
+
+Only pages with a subtree that the host's counts may delete meet the counts;
+they carry the pieces of their text, and the hashes of these, to them.
 """
 
 from __future__ import annotations
@@ -23,13 +29,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .graph import hot_keys, looked_up
 from .tasks import in_arrow, table, written
 
 SHARE = 0.1
+MOST = 0.5
 LEAST = 3
-#: Template subtrees that are sent to every executor at most (16 bytes of key and host each); more are joined by host.
-BROADCAST_ROWS = 200_000
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,7 +46,7 @@ CONTAINERS = frozenset("aside details div dl fieldset figure footer form header
 #: A start tag of the key closes an open element of the values, up to the nearest of CLOSED_BY.
 _P = ("p",)
 CLOSES = {t: _P for t in "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()}
-CLOSES |= {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody")}
+CLOSES |= {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("td", "th", "tr", "thead", "tbody")}
 SCOPE = frozenset("article aside blockquote body div dl fieldset figure footer form header html main menu nav ol section table td th ul".split())
 #: Elements that are never main text.
 DROP_TAGS = frozenset("aside audio button canvas datalist dialog footer form head iframe input map menu nav noframes noscript object script select style svg template textarea title video".split())
@@ -50,6 +57,11 @@ DROP_WORDS = frozenset(
     masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion promoted related replies reply respond search share sharing sidebar
     signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets""".split()
 )
+#: Words that may stand beside those in a name; any other word makes it a name of something else.
+NEUTRAL_WORDS = frozenset("area bar block body bottom box buttons container content form global inner item items left link links list main meta page primary right section secondary site text thread top wrap wrapper".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: An element with so much of the text is not dropped by its name or as a form, but for comments.
+WHOLE = 0.9
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
@@ -65,11 +77,17 @@ def events(html: str) -> list[tuple]:
     out: list[tuple] = []
     stack: list[str] = []
     times: dict[str, int] = {}
+    # how often each tag is open below the innermost boundary of scope, that element included
+    scopes: list[dict[str, int]] = [{}]
     at, n, quotes_hold = 0, len(html), True
 
     def close_top() -> str:
         tag = stack.pop()
         times[tag] -= 1
+        if tag in SCOPE:
+            scopes.pop()
+        else:
+            scopes[-1][tag] -= 1
         out.append((CLOSE, tag, None))
         return tag
 
@@ -123,15 +141,10 @@ def events(html: str) -> list[tuple]:
                 out.append((CLOSE, "br", None))
             continue
         for other in CLOSES.get(tag, ()):
-            if times.get(other):
-                # only an element with no scope boundary above it is closed
-                k = len(stack) - 1
-                while stack[k] != other and stack[k] not in SCOPE:
-                    k -= 1
-                if stack[k] == other:
-                    while close_top() != other:
-                        pass
-                    # what stands in another scope stays open
+            # only an element with no scope boundary above it is closed; what stands in another scope stays open
+            if scopes[-1].get(other):
+                while close_top() != other:
+                    pass
         out.append((OPEN, tag, inside))
         if tag in VOID or inside.endswith("/") and tag not in CONTAINERS and tag not in INLINE and tag not in CLOSES:
             out.append((CLOSE, tag, None))
@@ -143,46 +156,65 @@ def events(html: str) -> list[tuple]:
         else:
             stack.append(tag)
             times[tag] = times.get(tag, 0) + 1
+            if tag in SCOPE:
+                scopes.append({tag: 1})
+            else:
+                scopes[-1][tag] = scopes[-1].get(tag, 0) + 1
     while stack:
         close_top()
     return out
 
 
-def unwanted(tag: str, inside: str) -> bool:
-    """Whether tag, role, class or id say that the element is not main text."""
+def marked(name: str) -> str:
+    """"comment", "other" or "": what a class or id says that its element is, by the words of each whole name."""
+    found = ""
+    for token in name.split():
+        words = [w.lower() for w in _WORDS.findall(token)]
+        if words and any(w in DROP_WORDS for w in words) and all(w in DROP_WORDS or w in NEUTRAL_WORDS for w in words):
+            found = "comment" if any(w in COMMENT_WORDS for w in words) else found or "other"
+    return found
+
+
+def unwanted(tag: str, inside: str) -> str:
+    """"tag", "comment", "other" or "": whether tag and role, or class and id, say that the element is not main text."""
     if tag in DROP_TAGS:
-        return True
+        return "other" if tag == "form" else "tag"
     if not inside or tag in ("html", "body", "article", "main") and "comment" not in inside.lower():
-        return False
+        return ""
+    found = ""
     for name, a, b, c in _ATTRIBUTE.findall(inside):
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return "tag"
         if name == "role" and value.lower() in DROP_ROLES:
-            return True
-        if name in ("class", "id") and any(w.lower() in DROP_WORDS for w in _WORDS.findall(value)):
-            return True
+            return "tag"
         if name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return "tag"
+        if name in ("class", "id"):
+            found = max(found, marked(value), key=("", "other", "comment").index)
+    return found
 
 
 class Page:
-    """A page's events with, for each element, its end, subtree hash, and whether it holds an article."""
+    """A page's events with, for each element, its end, subtree hash, letters of text, and whether these are mostly links."""
 
     def __init__(self, html: str):
         self.events = events(html)
         n = len(self.events)
-        self.end, self.hash, self.holds, self.links = [0] * n, [0] * n, [False] * n, [False] * n
-        self.areas: dict[str, list[int]] = {"article": [], "main": []}
+        self.end, self.hash, self.letters, self.links = [0] * n, [0] * n, [0] * n, [False] * n
+        self.unwanted = [""] * n
+        areas: dict[str, list[tuple[int, bool]]] = {"article": [], "main": []}
         stack: list[list] = []  # place, parts, letters, letters in links
-        inside_link = 0
+        inside_link = inside_dropped = 0
         for i, (kind, x, more) in enumerate(self.events):
             if kind == OPEN:
+                self.unwanted[i] = unwanted(x, more)
+                if x == "article" or x == "main" or 'role="main"' in more:
+                    if not self.unwanted[i]:
+                        areas["article" if x == "article" else "main"].append((i, inside_dropped > 0))
                 stack.append([i, [x], 0, 0])
                 inside_link += x == "a"
-                if x in self.areas or 'role="main"' in more:
-                    self.areas["main" if x != "article" else x].append(i)
+                inside_dropped += self.unwanted[i] != "" and x != "form"
             elif kind == TEXT:
                 if stack:
                     words = " ".join(x.split())
@@ -192,82 +224,123 @@ class Page:
             else:
                 at, parts, letters, linked = stack.pop()
                 inside_link -= x == "a"
-                self.end[at] = i
+                inside_dropped -= self.unwanted[at] != "" and x != "form"
+                self.end[at], self.letters[at] = i, letters
                 self.hash[at] = xxhash.xxh64_intdigest("\0".join(parts).encode("utf-8", "surrogatepass")) & (2**63 - 1)
                 self.links[at] = letters > 0 and 2 * linked > letters
                 if stack:
                     stack[-1][1].append(str(self.hash[at]))
                     stack[-1][2] += letters
                     stack[-1][3] += linked
-                    self.holds[stack[-1][0]] |= self.holds[at] or x in self.areas
-
-    def main(self) -> tuple[list[int], bool]:
-        """Places of the outermost articles, else main elements; and whether there are any."""
-        for kind in ("article", "main"):
-            chosen, last = [], -1
-            for i in self.areas[kind]:
-                if i > last and not self._dropped(i):
-                    chosen.append(i)
+        # the outermost articles, else main elements; those in an aside or the like count if there are no others
+        self.places: list[int] = []
+        for found in areas.values():
+            chosen = [i for i, dropped in found if not dropped] or [i for i, _ in found]
+            last = -1
+            for i in chosen:
+                if i > last:
+                    self.places.append(i)
                     last = self.end[i]
-            if chosen:
-                return chosen, True
-        return [], False
-
-    def _dropped(self, i: int) -> bool:
-        return unwanted(self.events[i][1], self.events[i][2])
-
-    def subtrees(self) -> set[int]:
-        """Hashes of the containers that may be a site's template."""
-        places, _ = self.main()
-        spans = [(i, self.end[i]) for i in places]
-        out, k = set(), 0
-        for i, (kind, tag, _) in enumerate(self.events):
-            if kind == OPEN and tag in CONTAINERS and not self.holds[i]:
-                while k < len(spans) and spans[k][1] < i:
-                    k += 1
-                if not (k < len(spans) and spans[k][0] <= i) or self.links[i]:
-                    out.add(self.hash[i])
-        return out
-
-    def text(self, template: frozenset[int] | set[int] = frozenset()) -> str:
-        """The main text: blocks with single spaces, joined by one space."""
-        places, found = self.main()
-        if not found:
-            places = [0] if self.events else []
-        ends = [self.end[i] for i in places] if found else [len(self.events) - 1]
-        parts: list[str] = []
-        for begin, last in zip(places, ends):
-            i = begin
-            headings = -1  # end of a header element of an article, of which the headings stay
+            if self.places:
+                break
+
+    def pieces(self, by_name: bool = True) -> tuple[list[tuple[str, int]], list[tuple[int, int, bool]]]:
+        """(text, candidate or -1) in order, and the candidates: (hash, the candidate around it or -1, whether MOST decides).
+
+        A candidate is a subtree that the host's counts may delete. by_name=False
+        leaves elements in that only their class or id marks.
+        """
+        found, events = bool(self.places), self.events
+        spans = [(i, self.end[i]) for i in self.places] if found else [(0, len(events) - 1)] if events else []
+        whole = WHOLE * (sum(self.letters[i] for i in self.places) if found else sum(len(" ".join(x.split())) for kind, x, _ in events if kind == TEXT))
+        out: list[tuple[str, int]] = []
+        candidates: list[tuple[int, int, bool]] = []
+        for begin, last in spans:
+            i, headings = begin, -1  # headings: end of a header element of an article, of which the headings stay
+            around: list[tuple[int, int]] = []  # (end, number) of the open candidates
             while i <= last:
-                kind, x, more = self.events[i]
+                kind, x, more = events[i]
+                while around and around[-1][0] < i:
+                    around.pop()
+                owner = around[-1][1] if around else -1
                 if kind == OPEN:
                     if x not in INLINE:
-                        parts.append(" ")
-                    gone = i != begin and not (self.holds[i] and x not in DROP_TAGS) and (unwanted(x, more) or x in CONTAINERS and self.hash[i] in template and (not found or self.links[i]))
+                        out.append((" ", owner))
+                    why = self.unwanted[i]
+                    if why == "other":
+                        # a wrapper of it all isn't what its name says
+                        why = why if (by_name or x in DROP_TAGS) and self.letters[i] < whole else ""
+                    elif why == "comment" and not by_name:
+                        why = ""
+                    gone = bool(why) and not (i == begin and found)
                     if x == "header" and not gone:
                         if found:
                             headings = max(headings, self.end[i])
                         else:
-                            gone = not self.holds[i]
+                            gone = True
                     elif headings > i and x in HEADINGS and not gone:
-                        j = i
-                        while j < self.end[i]:
-                            j += 1
-                            if self.events[j][0] == TEXT:
-                                parts.append(unescape(self.events[j][1]))
+                        out += [(unescape(t), owner) for kind, t, _ in events[i : self.end[i]] if kind == TEXT]
                         gone = True
                     if gone:
                         i = self.end[i]
-                        parts.append("" if x in INLINE else " ")
+                        out.append(("" if x in INLINE else " ", owner))
+                    elif self.letters[i] and not (i == begin and found) and (x in CONTAINERS or not found and x not in INLINE and x not in ("html", "body")):
+                        candidates.append((self.hash[i], owner, not (x in CONTAINERS and (not found or self.links[i]))))
+                        around.append((self.end[i], len(candidates) - 1))
                 elif kind == TEXT:
                     if i > headings:
-                        parts.append(unescape(x) if "&" in x else x)
+                        out.append((unescape(x) if "&" in x else x, owner))
                 elif x not in INLINE:
-                    parts.append(" ")
+                    out.append((" ", owner))
                 i += 1
-            parts.append(" ")
-        return " ".join("".join(parts).split())
+            out.append((" ", -1))
+        return out, candidates
+
+    def parts(self) -> tuple[list[tuple[str, int]], list[tuple[int, int, bool]]]:
+        """pieces(), without the names' say if they would leave nothing."""
+        got = self.pieces()
+        return got if any(x.strip() for x, _ in got[0]) else self.pieces(by_name=False)
+
+    def outside(self) -> set[int]:
+        """Hashes of the containers outside the article, for the pages of the host that have none."""
+        out, i, k = set(), 0, 0
+        while self.places and i < len(self.events):
+            if self.events[i][0] == OPEN:
+                if k < len(self.places) and i == self.places[k]:
+                    i, k = self.end[i], k + 1
+                elif not (k < len(self.places) and self.places[k] < self.end[i]):  # it holds no article
+                    if self.unwanted[i]:
+                        i = self.end[i]
+                    elif self.events[i][1] in CONTAINERS and self.letters[i]:
+                        out.add(self.hash[i])
+            i += 1
+        return out
+
+    def text(self, some: frozenset[int] = frozenset(), most: frozenset[int] = frozenset()) -> str:
+        """The main text without the template: subtrees on SHARE of the host's pages, and those on MOST of them."""
+        return assembled(*self.parts(), some, most)
+
+
+def spaced(parts: list[str]) -> str:
+    return " ".join("".join(parts).split())
+
+
+def assembled(pieces: list[tuple[str, int]], candidates: list[tuple[int, int, bool]], some, most) -> str:
+    """Blocks with single spaces, joined by one space, without what lies in a deleted candidate."""
+
+    def kept(both: bool) -> tuple[list[str], int]:
+        gone: list[bool] = []
+        for x, around, strict in candidates:
+            gone.append(around >= 0 and gone[around] or (both and x in most if strict else x in some))
+        texts = [" " if owner >= 0 and gone[owner] else x for x, owner in pieces]
+        return texts, sum(len(x) - x.count(" ") for x in texts)
+
+    texts, letters = kept(False)
+    if most and any(x in most for x, _, strict in candidates if strict):
+        fewer, left = kept(True)
+        # what makes up most of the text is text that the host's pages share
+        texts = fewer if 2 * left >= letters else texts
+    return spaced(texts)
 
 
 def host(url: str | None) -> str:
@@ -276,26 +349,37 @@ def host(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def _subtrees(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in it:
-        hosts, hashes, bodies = [], [], []
-        for url, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-            page = Page(html.as_py() or "")
-            body = xxhash.xxh64_intdigest(page.text().encode("utf-8", "surrogatepass")) & (2**63 - 1)
-            for x in (0, *page.subtrees()):  # 0 counts the host's pages
-                hosts.append(host(url))
-                hashes.append(x)
-                bodies.append(body)
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(bodies, pa.int64())], names=["host", "hash", "body"])
+#: What a page's text is made of, if counts of its host may still delete some of it.
+_PARTS = [("__pieces", "array<string>"), ("__owners", "array<int>"), ("__hashes", "array<bigint>"), ("__around", "array<int>"), ("__strict", "array<boolean>")]
+_READ = [("__host", "bigint"), ("__body", "bigint"), ("__counted", "array<bigint>"), ("main_text", "string"), *_PARTS]
+_ARROW = {"string": pa.string(), "bigint": pa.int64(), "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+
+
+def _long(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) & (2**63 - 1)
+
 
+def read(url: str | None, html: str | None) -> tuple:
+    """The values of _READ: host, hash of the whole text, hashes to count (0 for the page), and the text or its parts."""
+    page = Page(html or "")
+    pieces, candidates = page.parts()
+    text = assembled(pieces, candidates, (), ())
+    counted = sorted({0, *page.outside(), *(x for x, _, _ in candidates)})
+    if not candidates:
+        return _long(host(url)), _long(text), counted, text, None, None, None, None, None
+    return _long(host(url)), _long(text), counted, None, [x for x, _ in pieces], [i for _, i in pieces], *map(list, zip(*candidates))
 
-def templates(pages: DataFrame, url: str = "url", html: str = "html", share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """(host, hash) of subtrees on at least `share` of the host's different pages, and on `least`."""
-    rows = in_arrow(pages.select(F.col(f"`{url}`").cast("string"), F.col(f"`{html}`").cast("string")), _subtrees, "host string, hash long, body long")
-    times = rows.groupBy("host", "hash", "body").agg(F.lit(1).alias("one")).groupBy("host", "hash").agg(F.count("*").alias("times"))
-    times = written(times.where((F.col("times") >= least) | (F.col("hash") == 0)))
-    of_host = times.where("hash = 0").select("host", F.col("times").alias("pages"))
-    return times.where("hash <> 0").join(of_host, "host").where(F.col("times") >= F.greatest(F.lit(least), F.col("pages") * share)).select("host", "hash")
+
+def templates(rows: DataFrame, share: float = SHARE, least: int = LEAST, most: float = MOST) -> DataFrame:
+    """(host, some, most) from the rows that read() made: hashes on `share` and on `most` of the host's different pages, and on `least`.
+
+    A host has at most 1 / share times the subtrees of its mean page.
+    """
+    marks = rows.select("__host", "__body", F.explode("__counted").alias("hash"))
+    times = written(marks.groupBy("__host", "hash", "__body").agg(F.lit(1).alias("one")).groupBy("__host", "hash").agg(F.count("*").alias("times")).where((F.col("times") >= least) | (F.col("hash") == 0)))
+    pages = times.where("hash = 0").select("__host", F.col("times").alias("pages"))
+    found = times.where("hash <> 0").join(pages, "__host").where(F.col("times") >= F.col("pages") * share)
+    return found.groupBy("__host").agg(F.collect_list("hash").alias("__some"), F.collect_list(F.when(F.col("times") >= F.col("pages") * most, F.col("hash"))).alias("__most"))
 
 
 def extracted(pages: DataFrame, url: str = "url", html: str = "html", keep: list[str] | None = None) -> DataFrame:
@@ -305,36 +389,35 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", keep: list
     element gives the rest of its body. Repeated rows get equal texts; a null url
     counts as an empty host. A column of pages named main_text is replaced.
     """
-    spark = pages.sparkSession
     keep = [c for c in (pages.columns if keep is None else keep) if c != "main_text"]
-    found = written(templates(pages, url, html))
-    by_host = found.groupBy("host").agg(F.collect_set("hash").alias("__hashes"))
-    data = pages.select(*[F.col(f"`{c}`").alias(c) for c in keep], F.col(f"`{url}`").cast("string").alias("__url"), F.col(f"`{html}`").cast("string").alias("__html"))
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in data.schema if f.name in keep) + "main_text string"
-    if found.count() <= BROADCAST_ROWS:
-        sets: dict[str, set[int]] = {}
-        for r in found.collect():
-            sets.setdefault(r.host, set()).add(r.hash)
-        shared = spark.sparkContext.broadcast(sets)
-
-        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in it:
-                urls = batch.column(len(keep)).to_pylist()
-                texts = [Page(x.as_py() or "").text(shared.value.get(host(u), frozenset())) for u, x in zip(urls, batch.column(len(keep) + 1))]
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, "main_text"])
-
-        return in_arrow(data, run, schema)
-    # beyond the bound: pages meet their host's template in a join, whose hot hosts Spark splits
-    by_url = F.lower(F.regexp_extract(F.coalesce("__url", F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    data = data.withColumn("__host", by_url).join(by_host.withColumnRenamed("host", "__host"), "__host", "left").select(*data.columns, "__hashes")
-
-    def run_joined(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            pairs = zip(batch.column(len(keep) + 1), batch.column(len(keep) + 2))
-            texts = [Page(x.as_py() or "").text(frozenset(h.as_py() or ())) for x, h in pairs]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(texts, pa.string())], names=[*keep, "main_text"])
+    data = pages.select(*[F.col(f"`{c}`").alias(f"__in_{c}") for c in keep], F.col(f"`{url}`").cast("string").alias("__url"), F.col(f"`{html}`").cast("string").alias("__html"))
+    fields = [f for f in data.schema if f.name.startswith("__in_")]
+    schema = T.StructType([*fields, *T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in _READ))])
+    names = schema.names
 
-    return in_arrow(data, run_joined, schema)
+    def parse(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            if batch.num_rows:
+                got = zip(*(read(u.as_py(), x.as_py()) for u, x in zip(batch.column(len(keep)), batch.column(len(keep) + 1))))
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *(pa.array(x, _ARROW[t]) for x, (_, t) in zip(got, _READ))], names=names)
+
+    rows = written(in_arrow(data, parse, schema))
+    own = [f.name for f in fields]
+    out = rows.where("main_text IS NOT NULL").select(*own, "main_text")
+    open_ = rows.where("main_text IS NULL").select("__host", *own, *[c for c, _ in _PARTS])
+    hot = hot_keys(open_.groupBy("__host").count(), "__host")
+    told = looked_up(open_, written(templates(rows)), "__host", hot).select(*own, *[c for c, _ in _PARTS], "__some", "__most")
+
+    def finish(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            texts = []
+            for row in zip(*(batch.column(i) for i in range(len(own), len(own) + 7))):
+                pieces, owners, hashes, around, strict, some, most = (x.as_py() or () for x in row)
+                texts.append(assembled(list(zip(pieces, owners)), list(zip(hashes, around, strict)), frozenset(some), frozenset(most)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(own))), pa.array(texts, pa.string())], names=[*own, "main_text"])
+
+    out = out.unionByName(in_arrow(told, finish, T.StructType([*fields, T.StructField("main_text", T.StringType())])))
+    return out.select(*[F.col(f"`{n}`").alias(c) for n, c in zip(own, keep)], "main_text")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
