@@ -42,9 +42,11 @@ def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares; a temporary one where none is set, as in tests."""
+    """The folder that the cluster shares; in local mode alone, a temporary one where none is set, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = getattr(spark, "_bunchflow_shared", None) or tempfile.mkdtemp(prefix="bunchflow-")
         spark._bunchflow_shared = at
     return at
