@@ -108,7 +108,7 @@ def _with_triplet(events: DataFrame, cuts: Cuts) -> DataFrame:
 def triplets(events: DataFrame, cuts: Cuts) -> DataFrame:
     """The best triplet of each event that has one: event key columns, i1, i2, i3, pt_sum, mass.
 
-    events: key columns and cands, an array of structs.
+    events: cands, an array of structs, and any other columns, which stay.
     """
     keys = [c for c in events.columns if c != "cands"]
     best = _with_triplet(events.where(preselected(F.col("cands"), cuts)), cuts).where("t IS NOT NULL")

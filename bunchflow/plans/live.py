@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..streaming.live import demultiplexed, drained, orbit_windows, watched
+from ..streaming.live import demultiplexed, drained, gaps, orbit_windows, scratch, watched
 from .fixtures import table
 
 QUERIES: dict = {}
@@ -63,3 +63,18 @@ def stream_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stateless live selection, file by file."""
     rows = _stream(spark, sf_dir, "lineitem").where("l_quantity >= 30 AND (l_orderkey * 7 + l_linenumber * 3 + l_suppkey) % 8 BETWEEN 2 AND 5")
     return drained(rows.select(F.col("l_orderkey").alias("event"), (F.col("l_quantity") * 4).cast("long").alias("pt"), F.col("l_linenumber").cast("long").alias("line")), "append")
+
+
+@query("""WITH e AS (SELECT event_id % 3 AS stream, event_id AS pos, event_id // 8 AS orbit, (event_id % 8) * 6 + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END AS bx FROM events),
+l AS (SELECT *, lag(orbit) OVER w AS o, lag(bx) OVER w AS b FROM e WINDOW w AS (PARTITION BY stream ORDER BY pos)),
+c AS (SELECT *, o IS NOT NULL AND orbit <> o AND orbit <> o + 1 AS bad_orbit, o IS NOT NULL AND CASE WHEN orbit = o THEN bx <> b + 18 ELSE bx <> 0 END AS bad_bx FROM l)
+SELECT stream, pos, orbit, bx, bad_orbit, bad_bx FROM c WHERE bad_orbit OR bad_bx""")
+def stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Breaks in live streams, with the last orbit and crossing as state, over several batches."""
+    at = scratch(spark)
+    e = table(spark, sf_dir, "events").select((F.col("event_id") % 3).alias("stream"), F.col("event_id").alias("pos"), F.floor(F.col("event_id") / 8).alias("orbit"), ((F.col("event_id") % 8) * 6 + (F.col("event_id") % 50 == 0).cast("long")).alias("bx"))
+    # files of ascending events, read one a batch in the order of their times
+    half = e.agg(F.expr("percentile(pos, 0.5)").cast("long")).first()[0]
+    for part in (e.where(F.col("pos") <= half), e.where(F.col("pos") > half)):
+        part.coalesce(1).write.mode("append").parquet(at)
+    return drained(gaps(watched(spark, at, e.schema, files_per_batch=1), 1, 18, 0), "append")

@@ -93,8 +93,8 @@ def cutflow_tight(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Selected events with their candidates' digest and triplet, as a snapshot keeps them."""
     e = events(spark, sf_dir)
-    per = e.select("event", F.size("cands").cast("long").alias("npuppi"), F.aggregate("cands", F.lit(0.0), lambda s, c: s + c["pt"]).alias("sum_pt"))
-    return per.join(triplets(e, LOOSE), "event").select("event", "npuppi", "sum_pt", "i1", "i2", "i3", F.round("mass", 2).alias("mass"))
+    per = e.select("event", "cands", F.size("cands").cast("long").alias("npuppi"), F.aggregate("cands", F.lit(0.0), lambda s, c: s + c["pt"]).alias("sum_pt"))
+    return triplets(per, LOOSE).select("event", "npuppi", "sum_pt", "i1", "i2", "i3", F.round("mass", 2).alias("mass"))
 
 
 @query(f"WITH {CAND} SELECT event, count(*) AS n, max(pt) AS lead_pt, arg_max(i, pt * 1000 - i) AS lead FROM floats GROUP BY event HAVING count(*) FILTER (WHERE sin(phi) > 0 AND round(cos(eta), 2) < 0.9) > 0")

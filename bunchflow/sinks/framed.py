@@ -96,12 +96,23 @@ def _events(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple]:
 
 
 class FramedWriter(_Writer):
-    """Columns run, orbit, bx, good, words, in the order of a task's rows; option kind. A run file is held whole."""
+    """Columns run, orbit, bx, good, words, in the order of a task's rows; option kind. A run file is held whole.
+
+    With option streams, rows of each value of the column stream that stand together make a file.
+    """
 
     def files(self, batches):
         for some in _some(batches):
-            events = (e for e, _ in _events(some))
-            yield None, iter([encode_frd(events)]) if self.options["kind"] == "frd" else encoded(self.options["kind"], events)
+            rows = _Lookahead(_events(some, "stream")) if self.options.get("streams") == "true" else _Lookahead((e, [0]) for e, _ in _events(some))
+            while rows.next is not None:
+                events = self._of_stream(rows)
+                yield None, iter([encode_frd(events)]) if self.options["kind"] == "frd" else encoded(self.options["kind"], events)
+
+    @staticmethod
+    def _of_stream(rows: _Lookahead) -> Iterator[Event]:
+        stream = rows.next[1][0]
+        while rows.next is not None and rows.next[1][0] == stream:
+            yield rows.take()[0]
 
 
 class RollingWriter(_Writer):

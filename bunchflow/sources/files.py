@@ -26,11 +26,11 @@ class Range:
     """Bytes begin .. end of a seekable file, read in order; a read never takes more than it asks for."""
 
     def __init__(self, f: BinaryIO, begin: int = 0, end: int | None = None):
-        if end is None:
-            f.seek(0, 2)
-            end = f.tell()
+        f.seek(0, 2)
+        size = f.tell()
         f.seek(begin)
-        self.f, self.begin, self.at, self.end = f, begin, begin, end
+        self.f, self.begin, self.at, self.end = f, begin, begin, size if end is None else end
+        self.whole = begin == 0 and self.end == size
 
     def take(self, n: int) -> bytes:
         """The next n bytes, or what is left."""

@@ -342,10 +342,10 @@ def frd_header(data: bytes | Range) -> FrdHeader:
 def frd_orbits(data: bytes | Range, payloads: bool = True) -> Iterator[Record]:
     """Orbits of a range of a file, checked against the file's header; without payloads only headers are read."""
     source = _range(data)
-    file, whole = frd_header(source), source.begin == 0
-    if whole:
-        if file.size != source.end:
-            raise FramingError(f"file of {source.end} bytes, header says {file.size}", 24)
+    file, whole = frd_header(source), source.whole
+    if whole and file.size != source.end:
+        raise FramingError(f"file of {source.end} bytes, header says {file.size}", 24)
+    if source.begin == 0:
         source.skip(FRD_HEADER_SIZE)
     orbits = 0
     while source.at < source.end:

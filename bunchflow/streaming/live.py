@@ -11,14 +11,17 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that all executors see: in the shared one, or a temporary one where none is set, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="bunchflow-live-")
+    """A new folder that all executors see: in the shared one, or, in local mode alone, a temporary one where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    base = base or tempfile.mkdtemp(prefix="bunchflow-live-")
     return f"{base.rstrip('/')}/live/{uuid.uuid4().hex}"
 
 
@@ -86,3 +89,41 @@ def demultiplexed(parts: DataFrame, slots: int, expire: str | None = None) -> Da
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if expire else GroupStateTimeout.NoTimeout
     return parts.groupBy("orbit").applyInPandasWithState(update, "orbit long, rows long, clashes long", "mask long, rows long, clashes long", "append", timeout)
+
+
+def gaps(events: DataFrame, orbit_step: int = 1, bx_step: int = 6, first_bx: int = 0) -> DataFrame:
+    """(stream, pos, orbit, bx, bad_orbit, bad_bx) of the breaks in streams; events: stream, pos, orbit, bx as long.
+
+    The state of a stream is its last orbit and crossing; a batch's events are
+    taken by pos, and batches in the order in which they come. The first event is exempt.
+    """
+
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values("pos", kind="stable")
+        last = state.get if state.exists else (None, None)
+        orbit, bx = (rows[c].shift(1) for c in ("orbit", "bx"))
+        if last[0] is not None:
+            orbit.iloc[0], bx.iloc[0] = last
+        same = rows["orbit"] == orbit
+        known = orbit.notna()
+        bad_orbit = known & ~same & (rows["orbit"] != orbit + orbit_step)
+        bad_bx = known & ((same & (rows["bx"] != bx + bx_step)) | (~same & (rows["bx"] != first_bx)))
+        state.update((int(rows["orbit"].iloc[-1]), int(rows["bx"].iloc[-1])))
+        out = rows.assign(bad_orbit=bad_orbit, bad_bx=bad_bx)[bad_orbit | bad_bx]
+        yield out[["stream", "pos", "orbit", "bx", "bad_orbit", "bad_bx"]]
+
+    schema = "stream long, pos long, orbit long, bx long, bad_orbit boolean, bad_bx boolean"
+    return events.select("stream", "pos", "orbit", "bx").groupBy("stream").applyInPandasWithState(update, schema, "orbit long, bx long", "append", GroupStateTimeout.NoTimeout)
+
+
+def paced(spark: SparkSession, orbits_per_second: int, slots: int = 594, tmux: int = 6, partitions: int | None = None) -> DataFrame:
+    """A stream of slots (orbit, bx) at a given rate of orbits, for generators that keep time."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", orbits_per_second)
+    ticks = (ticks.option("numPartitions", partitions) if partitions else ticks).load()
+    return ticks.select((F.col("value") + 1).alias("orbit"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit((slots - 1) * tmux).cast("long"), F.lit(tmux).cast("long"))).alias("bx"))
+
+
+def observed(events: DataFrame) -> tuple[DataFrame, Observation]:
+    """events, and their totals once an action has read them: events, words and events in error."""
+    seen = Observation()
+    return events.observe(seen, F.count(F.lit(1)).alias("events"), F.coalesce(F.sum("n"), F.lit(0)).alias("words"), F.coalesce(F.sum((~F.col("good")).cast("long")), F.lit(0)).alias("errors")), seen

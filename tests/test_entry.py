@@ -24,10 +24,13 @@ def test_oracles_have_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_without_the_optional_parts(tmp_path):
-    """A copy without them imports and keeps the other queries."""
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_without_the_optional_parts(tmp_path, pipeline):
+    """A copy without them imports and keeps the other queries, with the pipeline's own file or not."""
     shutil.copytree(ROOT / "bunchflow", tmp_path / "bunchflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    if pipeline and (ROOT / "corpus_pipeline.py").exists():
+        shutil.copy(ROOT / "corpus_pipeline.py", tmp_path)
     code = "import __spark_entry__ as e; print(sorted(k for k in e.queries() if k.startswith('op') or k == 'pipeline'), len(e.queries()) > 60)"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
     assert done.stdout.split("\n")[0] == "[] True", done.stderr
