@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from bunchflow.llm import decontamination, html, jaccard, langid, packing, pii, quality, secrets, sharding, spans, substring, words
+from bunchflow.llm import decontamination, graph, html, jaccard, langid, packing, pii, quality, secrets, sharding, spans, substring, words
 
 random.seed(3)
 WORDS = [f"w{i}" for i in range(400)]
@@ -54,30 +54,89 @@ def plain(rows):
     return sorted((tuple(r) for r in rows), key=repr)
 
 
-def test_jaccard_join(spark, docs):
+def joined(rows, k, num):
+    """(id, set size, component, links) by comparing all pairs."""
     sets = []
-    for i, t in corpus():
+    for i, t in rows:
         w = [x.lower() for x in words_of(t)]
-        sets.append((i, {tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set()))
-    for num in (85, 95, 60):
-        up = list(range(len(sets)))
-
-        def top(i):
-            while up[i] != i:
-                i = up[i]
-            return i
-
-        for (a, (_, x)), (b, (_, y)) in itertools.combinations(enumerate(sets), 2):
-            if x and y and 100 * len(x & y) >= num * len(x | y):
-                up[max(top(a), top(b))] = min(top(a), top(b))
-        want = []
-        for k, (i, s) in enumerate(sets):
-            ids = [j for n, (j, _) in enumerate(sets) if top(n) == top(k) and j is not None]
-            want.append((i, len(s), (min(ids) if ids else None) if s else i))
-        assert plain(jaccard.grouped(docs, 4, num, 100).collect()) == plain(want)
+        sets.append((i, {tuple(w[a : a + k]) for a in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()))
+    up, links = list(range(len(sets))), [0] * len(sets)
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for (a, (_, x)), (b, (_, y)) in itertools.combinations(enumerate(sets), 2):
+        if x and y and 100 * len(x & y) >= num * len(x | y):
+            up[max(top(a), top(b))] = min(top(a), top(b))
+            links[a] += 1
+            links[b] += 1
+    want = []
+    for n, (i, s) in enumerate(sets):
+        ids = [j for m, (j, _) in enumerate(sets) if top(m) == top(n) and j is not None]
+        want.append((i, len(s), (min(ids) if ids else None) if s else i, links[n]))
+    return plain(want)
+
+
+def test_jaccard_join(spark, docs):
+    for num in (85, 100, 60):
+        assert plain(jaccard.grouped(docs, 4, num, 100).collect()) == joined(corpus(), 4, num)
     assert jaccard.grouped(empty(spark), 4, 85, 100).count() == 0
 
 
+def test_jaccard_join_in_blocks(spark, monkeypatch):
+    """Groups of many blocks, filters that let nearly all pass, and hot keys give the same rows."""
+    from functools import partial
+
+    rng = random.Random(21)
+    rows = []
+    for g in range(3):
+        base = [rng.choice(WORDS) for _ in range(60)]
+        for _ in range((70, 12, 3)[g]):
+            own = base[: rng.randint(40, 60)]
+            own[rng.randrange(len(own))] = rng.choice(WORDS)
+            rows.append((len(rows), " ".join(own)))
+        rows += [(len(rows), rows[-1][1])]
+    rows += [(len(rows) + i, prose(30, rng)) for i in range(20)] + [(500 + i, "") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = joined(rows, 4, 85)
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 900)
+    monkeypatch.setattr(jaccard, "BITMAP_BLOCK", 4)
+    assert plain(jaccard.grouped(df, 4, 85, 100).collect()) == want
+    monkeypatch.setattr(jaccard, "key_filter", partial(graph.key_filter, most_bits=4))
+    monkeypatch.setattr(graph, "HOT_ROWS", 5)
+    assert plain(jaccard.grouped(df, 4, 85, 100).collect()) == want
+
+
+def test_trees_find_all_links(monkeypatch):
+    rng = np.random.default_rng(6)
+    sets = []
+    for g in range(4):
+        base = np.unique(rng.integers(0, 1 << 52, 150, np.uint64))
+        for _ in range(40):
+            own = base.copy()
+            own[rng.integers(0, len(base), rng.integers(0, 25))] = rng.integers(0, 1 << 52, 1, np.uint64)
+            sets.append(np.unique(own[: rng.integers(110, len(own))]))
+    n = len(sets)
+    weight, own, block = rng.integers(1, 5, n), rng.random(n) < 0.6, rng.integers(0, 2, n)
+    linked = np.array([[i != j and jaccard.links(len(np.intersect1d(a, b)), len(a), len(b), 85, 100) for j, b in enumerate(sets)] for i, a in enumerate(sets)])
+    for leaf, columns in ((64, 1 << 13), (3, 50)):
+        monkeypatch.setattr(jaccard, "LEAF", leaf)
+        monkeypatch.setattr(jaccard, "COLUMNS", columns)
+        for same in (True, False):
+            hit = linked & (own[:, None] | own) & (same | (block[:, None] != block))
+            got, edges = jaccard.all_links(sets, 85, 100, weight, own, block, same)
+            assert got.tolist() == (hit @ weight).tolist() and all(hit[i, j] for i, j in edges)
+            up, want = (jaccard.Union(list(range(n))) for _ in range(2))
+            for i, j in edges:
+                up.join(i, j)
+            for i, j in zip(*np.nonzero(hit)):
+                want.join(int(i), int(j))
+            assert [up.top(i) for i in range(n)] == [want.top(i) for i in range(n)]
+
+
 def test_signature_trees_lose_no_link():
     import numpy as np
 
@@ -93,7 +152,7 @@ def test_signature_trees_lose_no_link():
     tree = jaccard.SignatureTree(jaccard.folded([jaccard.bitmap(s, jaccard.bitmap_bits(len(s))) for s in sets]), size)
 
     def linked(i, j):
-        return jaccard.links(jaccard._common(sets[i], sets[j]), len(sets[i]), len(sets[j]), 85, 100)
+        return jaccard.links(int(jaccard.common([sets[i]], [sets[j]])[0, 0]), len(sets[i]), len(sets[j]), 85, 100)
 
     got = jaccard.Union(list(range(len(sets))))
     for i, j in jaccard.traversed(tree, list(range(len(sets))), linked, 85, 100):
@@ -119,8 +178,8 @@ def test_jaccard_rows_keep_their_numbers(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(10).write.parquet(str(tmp_path / "docs"))
     write, turn = jaccard.written, [0]
 
-    def split_anew(df):
-        out = write(df)
+    def split_anew(df, **sums):
+        out = write(df, **sums)
         turn[0] += 1
         spark.conf.set("spark.sql.files.openCostInBytes", ["4194304", "1"][turn[0] % 2])
         spark.conf.set("spark.sql.files.maxPartitionBytes", ["1000", "134217728"][turn[0] % 2])
@@ -148,6 +207,24 @@ def test_quality_statistics(docs):
     assert plain(got.collect()) == plain(want)
 
 
+def test_quality_repeats_with_few_bits(spark, monkeypatch):
+    """Windows whose packed hashes clash, and texts of too many windows for them, are counted by whole hashes."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(31)
+    texts = [" ".join(rng.choices("abcdefg", k=rng.randint(0, 300))) for _ in range(40)] + [" ".join(rng.choices(WORDS, k=400)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = []
+    for i, t in enumerate(texts):
+        w = t.split()
+        grams = Counter(zip(w, w[1:], w[2:]))
+        want.append((i, len({k + d for k, g in enumerate(zip(w, w[1:], w[2:])) if grams[g] > 1 for d in range(3)})))
+    for bits in (24, 60, 4):
+        monkeypatch.setattr(quality, "_POSITION_BITS", bits)
+        found = quality.with_statistics(quality.prepared(df, "text"), ["n_repeat_words"], F.lit(True)).select("doc_id", "n_repeat_words")
+        assert plain(found.collect()) == plain(want)
+
+
 def test_quality_sql(spark, sf_dir, duck):
     from tests.conftest import rows_of
 
@@ -159,6 +236,8 @@ def test_quality_order_changes_no_verdict(spark, docs):
     backward = quality.judged(docs, of=quality.rules()[::-1]).select("doc_id", "kept")
     assert plain(forward.collect()) == plain(backward.collect())
     assert quality.accepted(docs).columns == docs.columns
+    want = plain(quality.judged(docs).where("kept").select("doc_id").collect())
+    assert plain(quality.accepted(docs).select("doc_id").collect()) == plain(quality.accepted(docs, of=quality.rules()[::-1]).select("doc_id").collect()) == want
     assert quality.judged(empty(spark)).count() == 0
 
 
@@ -387,7 +466,7 @@ def test_long_texts_take_linear_time():
     formats, classifier = secrets.default_formats(), pii.Classifier({}, {})
     unit = "mail a.b@c.example call +1 (499) 555-7713 or 4155550003 password=abcdefgh12 key ghp_a1B2c3D4e5a1B2c3D4e5a1B2c3D4e5F6g7H8 <b><i>x</b></i> "
     run = "/".join(["AIza" + "SyD4f-kQ9xL2mN7pR3tV8wZ1bC5gH6jK0_Y"] * 20)
-    for work in (lambda n: pii.find(unit * n, classifier), lambda n: secrets.find(unit * n, formats), lambda n: secrets.find(run + f"/{run}" * (n // 5), formats), lambda n: html.Page(unit * n).text(), lambda n: html.Page("<b><div>" * n).text()):
+    for work in (lambda n: pii.find(unit * n, classifier), lambda n: secrets.find(unit * n, formats), lambda n: secrets.find(run + f"/{run}" * (n // 5), formats), lambda n: html.Page(unit * n).text(), lambda n: html.Page("<b><div>" * n).text(), lambda n: html.Page("<option><div>" + "<i>" * n + "<option></option>" * n).text()):
         work(20)
         took = []
         for n in (300, 3000):
@@ -515,11 +594,46 @@ def test_site_templates(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.main_text for r in html.extracted(df).collect()}
     assert got[3] == "text 3" and got[101] == "Welcome all 1"
-    old, html.BROADCAST_ROWS = html.BROADCAST_ROWS, -1
-    try:
-        assert {r.page_id: r.main_text for r in html.extracted(df).collect()} == got
-    finally:
-        html.BROADCAST_ROWS = old
+
+
+def test_names_of_classes():
+    """Whole names decide, and no name empties a page."""
+    long = "words of the page that matter and go on for a while"
+    for cls in ("content with-sidebar", "has-header", "right-sidebar", "search-results", "notice-board", "form"):
+        assert html.Page(f"<body><div class='{cls}'><p>{long}</p></div></body>").text() == long
+        assert html.Page(f"<body><div class='{cls}'><article><p>{long}</p></article></div></body>").text() == long
+    assert html.Page(f"<article><p>{long}</p><div class='search-results'>found</div><div class='notice-board'>board</div></article>").text() == long + " found board"
+    for cls in ("sidebar", "left-sidebar", "site_footer", "cookieNotice", "x comments", "comment-list", "newsletter", "ad"):
+        assert html.Page(f"<article><p>{long}</p><div class='{cls}'>no</div></article>").text() == long
+        assert html.Page(f"<body><p>{long}</p><div id='{cls}'>no</div></body>").text() == long
+    assert html.Page(f"<body><form id=f><article>{long}</article><input></form><aside><article>teaser</article></aside></body>").text() == long
+    assert html.Page(f"<article>{long}<div class=comments><article class=comment-body>{long}{long}</article></div></article>").text() == long
+    assert html.Page(f"<form id=whole><div>{long}</div></form>").text() == long
+    assert html.Page("<table><tr><td>a<tr><td>b</table>").text() == "a b"
+
+
+def test_templates_inside_articles(spark):
+    """Counts alone: boxes that most pages of a host have go, with or without an article; shared paragraphs stay."""
+    box = "<div class=x7><p>Subscribe now</p></div>"
+    links = "<ul><li><a href=a>One</a><li><a href=b>Two</a></ul>"
+
+    def page(i, kind):
+        body = f"<p>text {i} stands here and goes on for a good while longer</p><p>a shared licence line</p>"
+        return {
+            "article": f"<body><article><h1>t{i}</h1>{body}{box}<p>end {i}</p>{links if i % 3 == 0 else ''}</article></body>",
+            "bare": f"<body><p>Welcome to all</p>{body}{box}<section>{links}</section><p>end {i}</p></body>",
+            "copies": f"<body><article>{body}{box}<p>same</p></article></body>".replace(str(i), "0"),
+            "mostly": f"<body><article><p>{i}</p><div><p>a long part that all pages of the host share</p></div></article></body>",
+        }[kind]
+
+    rows = [(k * 100 + i, f"http://{kind}.example/{i}", page(i, kind)) for k, kind in enumerate(("article", "bare", "copies", "mostly")) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.main_text for r in html.extracted(df).collect()}
+    for i in range(20):
+        assert got[i] == f"t{i} text {i} stands here and goes on for a good while longer a shared licence line end {i}"
+        assert got[100 + i] == f"text {i} stands here and goes on for a good while longer end {i}"
+        assert got[200 + i] == "text 0 stands here and goes on for a good while longer a shared licence line Subscribe now same"
+        assert got[300 + i] == f"{i} a long part that all pages of the host share"
 
 
 def test_language_id(spark, sf_dir):
@@ -534,6 +648,73 @@ def test_language_id(spark, sf_dir):
     assert langid.fit(empty(spark)).predict("abc") == ("und", 0.0)
 
 
+def test_language_scores(spark):
+    """Against a backoff written out: words, else the longest known n-grams from each place on."""
+    import math
+
+    rng = random.Random(4)
+    texts = [(lang, " ".join("".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(rng.randint(1, 12)))) for lang, letters in (("x", "abcd"), ("y", "cdef"), ("z", "efgb")) for _ in range(30)]
+    model = langid.fit(spark.createDataFrame(texts, "lang string, text string"))
+    counts = {(lang, n): Counter() for lang in "xyz" for n in range(5)}
+    for lang, t in texts:
+        for w in t.split():
+            counts[lang, 0][w] += 1
+            for n in range(1, 5):
+                counts[lang, n].update(f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n))
+
+    def share(lang, n, gram):
+        return math.log((counts[lang, n][gram] + 0.1) / (sum(counts[lang, n].values()) + 1))
+
+    for _ in range(200):
+        t = " ".join("".join(rng.choices("abcdefgq", k=rng.randint(1, 7))) for _ in range(rng.randint(1, 5)))
+        total = dict.fromkeys("xyz", 0.0)
+        for w in t.split():
+            if any(counts[lang, 0][w] for lang in "xyz"):
+                found = [(0, w)]
+            else:
+                known = [next(((n, f"<{w}>"[i : i + n]) for n in (4, 3, 2, 1) if i + n <= len(w) + 2 and any(counts[lang, n][f"<{w}>"[i : i + n]] for lang in "xyz")), None) for i in range(len(w) + 2)]
+                found = [x for x in known if x]
+            for lang in total:
+                total[lang] += sum(share(lang, *x) for x in found) / max(len(found), 1)
+        got, score = model.predict(t)
+        heat = math.sqrt(len(t.split()))
+        assert abs(score - 1 / sum(math.exp((x - max(total.values())) / heat) for x in total.values())) < 1e-9
+        assert abs(total[got] - max(total.values())) < 1e-9
+
+
+def test_language_sample(spark):
+    """Copies count once, so the texts beside a text of a thousand copies are learned too; the bound is exact."""
+    rows = [("x", "same same")] * 3000 + [("x", f"word{chr(97 + i % 25)}{chr(97 + i // 25)}") for i in range(500)] + [("y", f"other{chr(97 + i)}") for i in range(70)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    got = Counter(r.lang for r in langid.sampled(df, 100).collect())
+    assert got == {"x": 100, "y": 70}
+    every = langid.sampled(df, 1000).collect()
+    assert len(every) == len({r.text for r in every}) == 571
+    model = langid.fit(df)
+    assert "wordha" in model.logs[0] and model.predict("same")[0] == "x"
+
+
+def test_substring_scans_split_anew(spark, docs, tmp_path, monkeypatch):
+    """Scans of written tables that are split otherwise each time change nothing."""
+    want = plain(substring.removed(docs, 10).collect())
+    docs.select("doc_id", "text").repartition(7).write.parquet(str(tmp_path / "docs"))
+    write, turn = substring.written, [0]
+
+    def split_anew(df, **sums):
+        out = write(df, **sums)
+        turn[0] += 1
+        spark.conf.set("spark.sql.files.openCostInBytes", ["4194304", "1"][turn[0] % 2])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", ["1000", "134217728"][turn[0] % 2])
+        return out
+
+    monkeypatch.setattr(substring, "written", split_anew)
+    try:
+        assert plain(substring.removed(spark.read.parquet(str(tmp_path / "docs")), 10, group_words=500).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 @pytest.mark.parametrize(("num", "den"), [(80, 100), (85, 100)])
 def test_brief_sets_lose_no_link(spark, num, den):
     """Where the exact bound lets two sets of a token pass, their short forms let them pass too."""
