@@ -521,6 +521,48 @@ def test_no_labeler_vetoes(spark):
     assert classifier.accepts("00-0+000000001")
 
 
+def test_personal_data_recall(sf_dir):
+    """Planted spans that no base pattern has are found, and ordinary numbers are left alone."""
+    import duckdb
+
+    rng = random.Random(41)
+    docs = [t for (t,) in duckdb.connect().execute(f"SELECT text FROM '{sf_dir}/documents.parquet'").fetchall() if t and len(t.split()) > 20]
+
+    def digits(n):
+        return "".join(rng.choices("0123456789", k=n))
+
+    def name():
+        return "".join(rng.choices("abcdefghijklmnoprstu", k=rng.randint(4, 8)))
+
+    personal = {
+        "spelt mail": lambda: (rng.choice(["contact ", "write to "]), f"{name()} [at] {name()} [dot] {rng.choice(['com', 'it', 'nl'])}", " and "),
+        "grouped phone": lambda: (rng.choice(["call ", "tel "]), f"({digits(3)}) {digits(3)}-{digits(4)}", " and "),
+        "plain phone": lambda: (rng.choice(["phone ", "mobile "]), digits(10), " and "),
+        "social": lambda: (rng.choice(["ssn ", "social "]), f"{digits(3)}-{digits(2)}-{digits(4)}", " and "),
+        "account": lambda: (rng.choice(["account ", "konto "]), digits(12), " and "),
+    }
+    ordinary = {
+        "date": lambda: ("on ", f"20{digits(2)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", " and "),
+        "amount": lambda: ("the ", digits(8), " people "),
+        "decimal": lambda: ("about ", f"{digits(5)}.{digits(4)}", " and "),
+        "units": lambda: ("some ", digits(7), " km "),
+    }
+    planted = []
+    for kind, make in {**personal, **ordinary}.items():
+        for _ in range(60):
+            before, x, after = make()
+            w = rng.choice(docs).split()
+            before = f"{' '.join(w[:10])} {before}"
+            planted.append((kind, before + x + after + " ".join(w[10:20]), len(before), len(before) + len(x)))
+    patterns = Counter()
+    for t in docs + [p[1] for p in planted]:
+        base = spans.Nested(pii.base_spans(t))
+        patterns.update(pii.votes(t, k, a, b, base) for k, a, b in pii.candidates(t))
+    classifier = pii.Classifier(patterns, pii.estimated(patterns)[0])
+    found = Counter(kind for kind, t, a, b in planted if any(x <= a + 1 and b - 1 <= y for _, x, y in pii.find(t, classifier)))
+    assert all(found[k] >= 54 for k in personal) and not any(found[k] for k in ordinary)
+
+
 def test_decontamination(spark, docs):
     table = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
