@@ -2,10 +2,11 @@
 
 Each rule is a condition on a document's text statistics. On a bounded random
 sample the operator measures every rule's cost (seconds of a run over the
-sample) and how much it rejects, orders the rules by rejection per cost, and
-builds one CASE expression: a document that an early rule rejects never
-evaluates the later ones. The order changes the cost alone; the verdict is the
-disjunction of all rules whatever the order.
+sample, less those of a run without a rule) and how much it rejects, orders the
+rules by rejection per cost, and applies them in that order. Each rule brings
+the statistics that it needs, guarded by the verdict so far: a document that an
+early rule rejects never pays for the statistics of later ones. The order
+changes the cost alone; the verdict is the disjunction of all rules whatever the order.
 
 Statistics of a null text are those of an empty one (no words, no lines). An
 empty table stays empty. Repeated rows get equal results. Whole texts are
@@ -15,7 +16,7 @@ measured, of any length.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,148 +27,182 @@ from .tasks import table
 #: ASCII white space, and what counts as a symbol.
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-#: Bound on the sample that orders the rules, in rows.
-SAMPLE_ROWS = 2000
+#: Bound on the sample that orders the rules, in rows, and how often a timed run goes through it.
+SAMPLE_ROWS = 1000
+TURNS = 4
 #: Words in a window of n_repeat_words.
 WINDOW = 3
 _POSITION_BITS = 24
 
 
-def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (long).
+def prepared(docs: DataFrame, text: str) -> DataFrame:
+    """docs with the text as __t, never null, its words as __w and n_words."""
+    df = docs.withColumn("__t", F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
+    trimmed = F.btrim("__t", F.lit(SPACE))
+    df = df.withColumn("__w", F.when(trimmed != "", F.split(trimmed, "[\\x20\\x09-\\x0D]+")).otherwise(F.array().cast("array<string>")))
+    return df.withColumn("n_words", F.size("__w").cast("long"))
 
-    Each step is a projection of its own, so that what several expressions use
-    is computed once a row. A row needs memory for its own text and words only.
-    """
-    spaces = F.lit(SPACE)
-    t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    df = docs.withColumn("__t", t).withColumn("__trim", F.btrim("__t", spaces))
-    df = df.withColumn("__w", F.when(F.col("__trim") != "", F.split("__trim", "[\\x20\\x09-\\x0D]+")).otherwise(F.array().cast("array<string>")))
+
+Statistic = Callable[[DataFrame, Column], DataFrame]
+
+
+def _symbols(df: DataFrame, wanted: Column) -> DataFrame:
     plain = F.col("__t")
     for c in SYMBOLS:
         plain = F.replace(plain, F.lit(c), F.lit(""))
-    lines = F.filter(F.split("__t", "\n"), lambda x: F.btrim(x, spaces) != "")
-    df = df.withColumns({
-        "n_words": F.size("__w").cast("long"),
-        "word_chars": F.length(F.array_join("__w", "")).cast("long"),
-        "n_symbols": (F.octet_length("__t") - F.octet_length(plain)).cast("long"),
-        "__l": lines,
-        "__n": F.size("__w") - (WINDOW - 1),
-        "__z": F.arrays_zip("__w", F.expr("slice(__w, 2, greatest(size(__w), 1))").alias("b"), F.expr("slice(__w, 3, greatest(size(__w), 1))").alias("c")),
-    })
-    none = F.array().cast("array<bigint>")
-    df = df.withColumns({
-        "n_lines": F.size("__l").cast("long"),
-        "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long"),
-        "__h": F.when(F.col("__n") > 1, F.transform(F.expr("slice(__z, 1, greatest(__n, 0))"), lambda x: F.xxhash64(x))).otherwise(none),
-    })
-    names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
-    # A filter on a statistic must not be pushed below the projections, which would
-    # repeat their expressions in it; it does not pass a generator.
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    return _repeats(df).select(*own, F.inline_outer(F.array(F.struct(*names))))
-
-
-def _repeats(df: DataFrame) -> DataFrame:
-    """n_repeat_words from __h, the hashes of a text's windows in order.
-
-    Positions with equal hashes are found by sorting. A position and 40 bits of
-    its hash fit into one long, which sorts as a primitive; a position counts if
-    it has a partner by the high and another by the low 40 bits, so a false one
-    needs two independent 40-bit collisions. Texts of 2**24 words and more sort
-    pairs of the whole hash and position instead.
+    return df.withColumn("n_symbols", F.when(wanted, (F.octet_length("__t") - F.octet_length(plain)).cast("long")))
+
+
+def _word_chars(df: DataFrame, wanted: Column) -> DataFrame:
+    return df.withColumn("word_chars", F.when(wanted, F.length(F.array_join("__w", "")).cast("long")))
+
+
+def _lines(df: DataFrame, wanted: Column) -> DataFrame:
+    df = df.withColumn("__l", F.when(wanted, F.filter(F.split("__t", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")))
+    df = df.withColumns({"n_lines": F.size("__l").cast("long"), "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long")})
+    return df.drop("__l")
+
+
+def _capitals(df: DataFrame, wanted: Column) -> DataFrame:
+    return df.withColumn("n_capitals", F.when(wanted, F.regexp_count("__t", F.lit("[A-Z]")).cast("long")))
+
+
+def _repeats(df: DataFrame, wanted: Column) -> DataFrame:
+    """n_repeat_words: words in the windows whose hash another window of the text has.
+
+    Windows with equal hashes are found by sorting. A position and 40 bits of
+    its hash fit into one long, which sorts as a primitive. Where two hashes
+    share these bits but differ, or a text has 2**24 windows, whole hashes are
+    sorted. A window covers its own words but those that the next one covers too.
     """
-    bits, none = _POSITION_BITS, F.array().cast("array<bigint>")
+    bits = _POSITION_BITS
     low = (1 << bits) - 1
+    none = F.array().cast("array<bigint>")
+    df = df.withColumn("__a", F.when(wanted & (F.col("n_words") > WINDOW), F.transform("__w", lambda w: F.xxhash64(w))).otherwise(none))
+    hashes = F.transform("__a", lambda x, i: F.xxhash64(x, *[F.get("__a", i + k) for k in range(1, WINDOW)]))
+    df = df.withColumn("__h", F.when(F.size("__a") > WINDOW, F.slice(hashes, 1, F.size("__a") - (WINDOW - 1))).otherwise(none))
+    df = df.withColumn("__some", F.size("__h") > F.size(F.array_distinct("__h")))
+    short = F.col("__some") & (F.size("__h") < 1 << bits)
+    df = df.withColumn("__k", F.when(short, F.sort_array(F.transform("__h", lambda x, i: F.shiftleft(x, bits).bitwiseOR(i.cast("long"))))).otherwise(none))
 
-    def packed(of):
-        return F.sort_array(F.transform("__h", lambda h, i: F.shiftleft(of(h), bits).bitwiseOR(i.cast("long"))))
+    def pair(a: Column, b: Column) -> Column:
+        """Both positions in a long, where the bits of the hashes agree."""
+        alike = F.shiftrightunsigned(a, bits) == F.shiftrightunsigned(b, bits)
+        return F.when(alike, F.shiftleft(a.bitwiseAND(low), 31).bitwiseOR(b.bitwiseAND(low)))
 
-    def neighbours(c: str) -> Column:
-        return F.arrays_zip(F.col(c).alias("a"), F.expr(f"slice({c}, 2, greatest(size({c}), 1))").alias("b"))
+    first, second = (lambda x: F.shiftrightunsigned(x, 31)), (lambda x: x.bitwiseAND((1 << 31) - 1))
+    df = df.withColumn("__q", F.filter(F.zip_with("__k", F.expr("slice(__k, 2, size(__k))"), pair), lambda x: x.isNotNull()))
+    clash = F.exists("__q", lambda x: F.get("__h", first(x).cast("int")) != F.get("__h", second(x).cast("int")))
+    df = df.withColumn("__whole", F.col("__some") & ((F.size("__h") >= 1 << bits) | clash))
+    df = df.withColumn("__s", F.when(F.col("__whole"), F.sort_array(F.transform("__h", lambda x, i: F.struct(x.alias("h"), i.cast("long").alias("i"))))))
 
-    def partners(c: str) -> Column:
-        same = F.filter(neighbours(c), lambda p: F.shiftrightunsigned(p["a"], bits) == F.shiftrightunsigned(p["b"], bits))
-        return F.array_distinct(F.concat(F.transform(same, lambda p: p["a"].bitwiseAND(low)), F.transform(same, lambda p: p["b"].bitwiseAND(low))))
+    def among(x: Column, i: Column) -> Column:
+        return (x["h"] == F.get("__s", i + 1)["h"]) | (x["h"] == F.get("__s", i - 1)["h"])
 
-    n = F.size("__h")
-    some = (n > 1) & (n > F.size(F.array_distinct("__h")))
-    df = df.withColumn("__some", some)
-    small, large = F.col("__some") & (n < 1 << bits), F.col("__some") & (n >= 1 << bits)
-    df = df.withColumns({
-        "__k1": F.when(small, packed(lambda h: F.shiftrightunsigned(h, bits))).otherwise(none),
-        "__k2": F.when(small, packed(lambda h: h)).otherwise(none),
-        "__k3": F.when(large, F.sort_array(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i"))))),
-    })
-    df = df.withColumns({"__p1": partners("__k1"), "__p2": partners("__k2"), "__p3": F.when(large, F.array_distinct(F.flatten(F.transform(F.filter(neighbours("__k3"), lambda p: p["a"]["h"] == p["b"]["h"]), lambda p: F.array(p["a"]["i"], p["b"]["i"])))))})
-    df = df.withColumn("__p", F.sort_array(F.when(large, F.col("__p3")).otherwise(F.array_intersect("__p1", "__p2"))))
-    # a window covers its own words, but those that the next one covers too count there
-    step = F.aggregate(neighbours("__p"), F.lit(0).cast("long"), lambda s, p: s + F.least(F.lit(WINDOW).cast("long"), F.coalesce(p["b"] - p["a"], F.lit(WINDOW).cast("long"))))
-    return df.withColumn("n_repeat_words", step).drop("__some", "__k1", "__k2", "__k3", "__p1", "__p2", "__p3", "__p")
+    wholly = F.transform(F.filter("__s", among), lambda x: x["i"])
+    shortly = F.array_distinct(F.concat(F.transform("__q", first), F.transform("__q", second)))
+    df = df.withColumn("__p", F.sort_array(F.when(F.col("__whole"), wholly).otherwise(shortly)))
+    most = F.lit(WINDOW).cast("long")
+    steps = F.transform("__p", lambda x, i: F.least(most, F.coalesce(F.get("__p", i + 1) - x, most)))
+    return df.withColumn("n_repeat_words", F.when(wanted, F.aggregate(steps, F.lit(0).cast("long"), lambda s, x: s + x))).drop("__a", "__h", "__some", "__k", "__q", "__whole", "__s", "__p")
+
+
+STATISTICS: dict[str, Statistic] = {"n_symbols": _symbols, "word_chars": _word_chars, "n_lines": _lines, "n_repeat_words": _repeats, "n_capitals": _capitals}
 
 
 @dataclass(frozen=True)
 class Rule:
-    """rejects: a condition on the columns of statistics() and the text; never null."""
+    """rejects: a condition on n_words and the statistics named in `needs`; never null where these aren't."""
 
     name: str
+    needs: tuple[str, ...]
     rejects: Column
 
 
-def rules(text: str = "text") -> list[Rule]:
+def base_rules() -> list[Rule]:
+    return [Rule("short", (), F.col("n_words") < 50), Rule("repeated_words", ("n_repeat_words",), F.col("n_repeat_words") * 100 > F.col("n_words") * 50)]
+
+
+def rules() -> list[Rule]:
     """The rules with production thresholds; all counts are whole numbers, so no rounding decides."""
-    n = F.col("n_words")
-    capitals = F.regexp_count(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), F.lit("[A-Z]"))
+    n, chars = F.col("n_words"), F.col("word_chars")
     return [
-        Rule("symbols", F.col("n_symbols") * 10 > n),
-        Rule("repeated_lines", F.col("n_dup_lines") * 2 > F.col("n_lines")),
-        Rule("word_length", (F.col("word_chars") < n * 2) | (F.col("word_chars") > n * 15)),
-        Rule("capitals", capitals * 10 > F.col("word_chars") * 6),
+        Rule("symbols", ("n_symbols",), F.col("n_symbols") * 10 > n),
+        Rule("repeated_lines", ("n_lines",), F.col("n_dup_lines") * 2 > F.col("n_lines")),
+        Rule("word_length", ("word_chars",), (chars < n * 2) | (chars > n * 15)),
+        Rule("capitals", ("word_chars", "n_capitals"), F.col("n_capitals") * 10 > chars * 6),
     ]
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
+def with_statistics(df: DataFrame, names: Sequence[str], wanted: Column) -> DataFrame:
+    """df with the statistics that it lacks, null where they aren't wanted."""
+    for name in names:
+        df = df if name in df.columns else STATISTICS[name](df, wanted)
+    return df
 
 
-def ordered(measured: DataFrame, of: Sequence[Rule], rows: int, most: int = SAMPLE_ROWS, seed: int = 17) -> list[Rule]:
-    """of, by rejection per cost on a random sample of about `most` of the `rows` rows of measured."""
+def ordered(docs: DataFrame, text: str, of: Sequence[Rule], seed: int = 17) -> list[Rule]:
+    """of, by rejection per cost on a random sample of about SAMPLE_ROWS rows of docs."""
+    rows = docs.count()
     if rows == 0 or len(of) < 2:
         return list(of)
-    sample = measured.sample(min(1.0, most / rows), seed).persist()
+    sample = prepared(docs.sample(min(1.0, SAMPLE_ROWS / rows), seed), text).select("__t", "__w", "n_words").persist()
+    always = F.lit(True)
     try:
-        share = sample.agg(*[F.avg(r.rejects.cast("int")).alias(str(i)) for i, r in enumerate(of)]).first()
-        cost = []
-        for r in of:
+        often = sample.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.lit(TURNS))))
+
+        def run(needs: Sequence[str], rejects: Column) -> tuple[float, float]:
+            """(seconds, share of rejected rows)"""
+            seen = with_statistics(often, needs, always).agg(F.avg(rejects.cast("int")))
             began = time.perf_counter()
-            sample.agg(F.sum(r.rejects.cast("int"))).first()
-            cost.append(time.perf_counter() - began)
+            share = seen.first()[0]
+            return time.perf_counter() - began, share or 0.0
+
+        run((), F.col("n_words") < 0)  # fills the cache
+        idle, _ = run((), F.col("n_words") < 0)
+        seen = [run(r.needs, r.rejects) for r in of]
     finally:
         sample.unpersist()
-    return [of[i] for i in sorted(range(len(of)), key=lambda i: -(share[i] or 0.0) / cost[i])]
+    return [of[i] for i in sorted(range(len(of)), key=lambda i: -seen[i][1] / max(seen[i][0] - idle, 1e-3))]
 
 
-def judged(docs: DataFrame, text: str = "text", of: Sequence[Rule] | None = None) -> DataFrame:
-    """docs with the statistics, base_failed boolean, rejected_by (the first rule that rejects, or null) and kept boolean.
+def cascade(df: DataFrame, of: Sequence[Rule], by: Column) -> DataFrame:
+    """df with __by: `by` or, where it is null, the name of the first rule that rejects; no rule after it is evaluated."""
+    df = df.withColumn("__by", by)
+    for r in of:
+        open_ = F.col("__by").isNull()
+        df = with_statistics(df, r.needs, open_)
+        df = df.withColumn("__by", F.when(open_, F.when(r.rejects, F.lit(r.name))).otherwise(F.col("__by")))
+    return df
 
-    Columns of docs that are named as a result are replaced.
-    """
-    of = rules(text) if of is None else of
-    measured = statistics(docs, text).withColumn("base_failed", base_failed())
-    rows = docs.count()
-    # the sample is drawn before measuring, so that only sampled rows are measured for it
-    sampled = statistics(docs.sample(min(1.0, SAMPLE_ROWS / max(rows, 1)), 17), text)
-    by = F.when(F.col("base_failed"), F.lit("base"))
-    for r in ordered(sampled, of, min(rows, SAMPLE_ROWS)):
-        by = by.when(r.rejects, F.lit(r.name))
-    return measured.withColumn("rejected_by", by).withColumn("kept", F.col("rejected_by").isNull())
 
+RESULT = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "rejected_by", "kept"]
 
-def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of docs that no rule rejects, with their own columns."""
+
+def judged(docs: DataFrame, text: str = "text", of: Sequence[Rule] | None = None) -> DataFrame:
+    """docs with the statistics, base_failed boolean, rejected_by (base, or the first rule that rejects, or null) and kept boolean.
+
+    Columns of docs that are named as a result are replaced. Here the base's
+    statistics are wanted of every document, so only the others are spared.
+    """
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"__in_{c}") for c in docs.columns])
+    of = ordered(inner, f"__in_{text}", rules() if of is None else of)
+    df = with_statistics(prepared(inner, f"__in_{text}"), ["word_chars", "n_symbols", "n_lines", "n_repeat_words"], F.lit(True))
+    df = df.withColumn("base_failed", (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50))
+    df = cascade(df, of, F.when(F.col("base_failed"), F.lit("base"))).withColumnRenamed("__by", "rejected_by").withColumn("kept", F.col("rejected_by").isNull())
+    own = [c for c in docs.columns if c not in RESULT]
+    # a filter on a result must not be pushed below the projections, which would repeat their expressions; it passes no generator
+    out = df.select(*[F.col(f"`__in_{c}`") for c in own], F.inline_outer(F.array(F.struct(*RESULT))))
+    return out.select(*[F.col(f"`__in_{c}`").alias(c) for c in own], *RESULT)
+
+
+def accepted(docs: DataFrame, text: str = "text", of: Sequence[Rule] | None = None) -> DataFrame:
+    """The rows of docs that no rule of the base or of `of` rejects, with their own columns."""
     # the statistics live under names of their own, whatever docs has
     inner = docs.select(*[F.col(f"`{c}`").alias(f"__in_{c}") for c in docs.columns])
-    kept = judged(inner, f"__in_{text}").where("kept")
+    of = ordered(inner, f"__in_{text}", [*base_rules(), *(rules() if of is None else of)])
+    df = cascade(prepared(inner, f"__in_{text}"), of, F.lit(None).cast("string"))
+    kept = df.select(*[F.col(f"`__in_{c}`") for c in docs.columns], F.inline_outer(F.array(F.struct("__by")))).where("__by IS NULL")
     return kept.select(*[F.col(f"`__in_{c}`").alias(c) for c in docs.columns])
 
 
