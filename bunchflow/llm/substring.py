@@ -308,7 +308,7 @@ def cut_words(words: list[bytes], runs: list[tuple[int, int]], window: int) -> t
 
 
 def removed(docs: DataFrame, window: int = WINDOW, seed: int = SEED, key: str = "doc_id", text: str = "text", with_text: bool = False, group_words: int = GROUP_WORDS) -> DataFrame:
-    """(id, n_words, n_removed, kept_sha256) for each row of docs; with_text adds kept, the words left, joined by one space.
+    """(id, n_words, n_removed, kept_sha256) for each row of docs; with_text adds kept, the words left, joined by one space, or null where nothing was removed.
 
     A word is removed if some window of `window` consecutive words over it
     starts at another place of the corpus too, in the same text or another;
