@@ -281,7 +281,7 @@ _PICKED = f"""WITH {triplet_sql(LOOSE)}, {HEADERS.strip()}, per AS (
 
 @query(
     f"""{_PICKED}, s AS (SELECT event, sum(pdgid)::BIGINT AS pdgid, sum(pt) AS pt_sum FROM floats GROUP BY event)
-SELECT ev.run::BIGINT AS run, ev.orbit, ev.bx::BIGINT AS bx, ev.good, per.n, s.pt_sum AS pt, s.pdgid, per.quality, 15::BIGINT AS columns, i1, i2, i3, round(mass, 2) AS mass
+SELECT ev.run::BIGINT AS run, ev.orbit, ev.bx::BIGINT AS bx, ev.good, per.n, s.pt_sum AS pt, s.pdgid, per.quality, 15::BIGINT AS columns, i1, i2, i3, round(CAST(CAST(mass AS FLOAT) AS DOUBLE), 2) AS mass
 FROM best JOIN ev USING (event) JOIN per USING (event) JOIN s USING (event)"""
 )
 def snapshot_15_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +303,7 @@ def snapshot_15_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"{_PICKED} SELECT ev.run::BIGINT AS run, ev.orbit, ev.bx::BIGINT AS bx, ev.good, per.n, per.digest, i1, i2, i3, round(mass, 2) AS mass FROM best JOIN ev USING (event) JOIN per USING (event)")
+@query(f"{_PICKED} SELECT ev.run::BIGINT AS run, ev.orbit, ev.bx::BIGINT AS bx, ev.good, per.n, per.digest, i1, i2, i3, round(CAST(CAST(mass AS FLOAT) AS DOUBLE), 2) AS mass FROM best JOIN ev USING (event) JOIN per USING (event)")
 def raw_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Selected events as they came, with their triplet, in a binary file and back."""
     register(spark)
