@@ -111,7 +111,9 @@ def triplets(events: DataFrame, cuts: Cuts) -> DataFrame:
     events: cands, an array of structs, and any other columns, which stay.
     """
     keys = [c for c in events.columns if c != "cands"]
-    best = _with_triplet(events.where(preselected(F.col("cands"), cuts)), cuts).where("t IS NOT NULL")
+    # Exploded, not filtered: a filter on t or on its fields moves below the projection of t, with the whole search in each of its terms.
+    found = F.explode(F.when(F.col("t").isNotNull(), F.array("t")))
+    best = _with_triplet(events.where(preselected(F.col("cands"), cuts)), cuts).select(*keys, found.alias("t"))
     return best.select(*keys, F.col("t.x.i").alias("i1"), F.col("t.y.i").alias("i2"), F.col("t.z.i").alias("i3"), (-F.col("t.s")).alias("pt_sum"), F.col("t.mass").alias("mass"))
 
 

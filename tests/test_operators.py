@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bunchflow.operators import streams as S
 from bunchflow.operators.layouts import described, flattened
-from bunchflow.operators.selection import LOOSE, triplets
+from bunchflow.operators.selection import LOOSE, histogram, triplets
 from bunchflow.plans.fixtures import events
 
 
@@ -43,6 +43,12 @@ def test_triplets_equal_brute_force(spark, sf_dir):
     assert got == want and want
 
 
+def test_triplets_are_searched_once_an_event(spark, sf_dir):
+    found = triplets(events(spark, sf_dir), LOOSE)
+    for rows in (found, found.where("mass > 60"), histogram(found, "mass", 100, 0.0, 100.0)):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("array_min") == 1
+
+
 def test_round_robin_stops_as_the_reader_does(spark):
     def loop(sizes):
         left, out, i, good = list(sizes), [], 0, [True] * len(sizes)
